@@ -100,7 +100,7 @@ def _hrefs(tag: Column) -> Column:
 def token_pieces(tokens: Column) -> Column:
     """Pieces of a plain page, in page order, values untrimmed.
 
-    Kinds: ``title``, ``text`` and ``link``, and ``body`` / ``/body`` as marks.
+    Kinds: ``title``, ``text`` and ``link``, and ``body`` as a mark.
     """
 
     def piece(kind: str, value: Column | str = "") -> Column:
@@ -115,14 +115,13 @@ def token_pieces(tokens: Column) -> Column:
             .when(token.rlike(r"(?is)^<title\b"), piece("title", unescape(inner)))
             .when(token.rlike(r"(?is)^<a[\s/>]"), piece("link", F.coalesce(_hrefs(token), F.lit(""))))
             .when(token.rlike(r"(?is)^<body[\s/>]"), piece("body"))
-            .when(token.rlike(r"(?is)^</body\b"), piece("/body"))
             .when(token.startswith("<"), piece("none"))
             .otherwise(piece("text", unescape(token)))
         )
 
     useful = F.filter(
         F.transform(tokens, classify),
-        lambda p: (p["value"] != "") | p["kind"].isin("body", "/body"),
+        lambda p: (p["value"] != "") | (p["kind"] == "body"),
     )
     return useful
 
@@ -146,8 +145,6 @@ class _Pieces(HTMLParser):
     def handle_endtag(self, tag):
         if tag == "title":
             self.kind = "text"
-        elif tag == "body":
-            self.found.append(("/body", ""))
 
     def handle_data(self, data):
         self.found.append((self.kind, data))
@@ -187,11 +184,8 @@ def first_title(pieces: Column) -> Column:
 
 def body_text(pieces: Column) -> Column:
     """Text nodes after ``<body>``, untrimmed, joined by a space, then trimmed."""
-    kinds = F.transform(pieces, lambda p: p["kind"])
-    start = F.array_position(kinds, "body")
-    stop = F.array_position(kinds, "/body")
-    end = F.when(stop > start, stop).otherwise(F.size(pieces) + 1)
-    inside = F.slice(pieces, start + 1, F.greatest(F.lit(0), end - start - 1).cast("int"))
+    start = F.array_position(F.transform(pieces, lambda p: p["kind"]), "body")
+    inside = F.slice(pieces, (start + 1).cast("int"), F.size(pieces))
     nodes = F.filter(inside, lambda p: p["kind"].isin("text", "title"))
     joined = F.array_join(F.transform(nodes, lambda p: p["value"]), " ")
     return F.when(start > 0, strip_text(joined)).otherwise(F.lit(""))

@@ -32,15 +32,14 @@ def token_overlaps(rows: DataFrame, key: str, wanted: str, answers: list[str]) -
     long text over tasks; a row without any token keeps its key.
     """
     sides = [wanted, *answers]
-    tagged = F.concat(
-        *[
-            F.transform(
-                tokenize(F.coalesce(F.col(side), F.lit(""))),
-                lambda t, i=i: F.struct(F.lit(i).alias("side"), t.alias("token")),
-            )
-            for i, side in enumerate(sides)
-        ]
-    )
+
+    def tag(number: int, side: str) -> Column:
+        words = tokenize(F.coalesce(F.col(side), F.lit("")))
+        return F.transform(
+            words, lambda t: F.struct(F.lit(number).alias("side"), t.alias("token"))
+        )
+
+    tagged = F.concat(*[tag(i, side) for i, side in enumerate(sides)])
     words = rows.select(key, F.explode_outer(tagged).alias("w")).select(key, "w.side", "w.token")
     bags = words.groupBy(key, "token").agg(
         *[F.count_if(F.col("side") == i).alias(side) for i, side in enumerate(sides)]

@@ -4,8 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.utils import AnalysisException
 
+from quern.session import exists
 from quern.schemas import FEEDBACK, PREFERENCE_ANSWER
 
 from .filters import RATING_RANGE
@@ -69,12 +69,9 @@ def read_feedback(spark: SparkSession, path: str) -> DataFrame:
 
 
 def _last_id(spark: SparkSession, path: str) -> int:
-    try:
-        return read_feedback(spark, path).agg(F.max("id")).first()[0] or 0
-    except AnalysisException as error:
-        if error.getCondition() == "PATH_NOT_FOUND":
-            return 0
-        raise
+    if not exists(spark, path):
+        return 0
+    return read_feedback(spark, path).agg(F.max("id")).first()[0] or 0
 
 
 def append_feedback(

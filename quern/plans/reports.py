@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from quern.functions.text import strip_text
 from quern.operators import evals, quality
 from quern.operators.exact import exact_dedup_text
 from quern.operators.feedback import append_feedback, preference_tasks, read_feedback
@@ -57,26 +58,35 @@ def filter_split_run(
     return quality.token_total(kept)
 
 
-def clean_step(spark: SparkSession, raw: str, target: str, schema: T.StructType, order: str) -> str:
-    """Strict read, strip, drop short and repeated texts, replace the output safely."""
-    cleaned = exact_dedup_text(jsonl.strict_records(spark, raw, schema, blank="fail"), order)
-    sinks.replace_output(cleaned, target, order)
+def clean_step(spark: SparkSession, raw: str, target: str) -> str:
+    """Strict read, strip, drop short and repeated texts, replace the output safely.
+
+    Other keys of a record stay as they are. Returns the path for the next step.
+    """
+    lines = jsonl.numbered_lines(spark, raw)
+    fields = lines.select("seq", jsonl.strict_object(F.col("value")).alias("fields"))
+    text = jsonl.string_field(F.col("fields"), "text")
+    records = fields.select(
+        "seq", "fields", F.coalesce(text, F.raise_error(F.lit("record without text"))).alias("text")
+    )
+    kept = exact_dedup_text(records, "seq")
+    out = kept.select("seq", jsonl.replace_text(F.col("fields"), F.col("text")).alias("value"))
+    sinks.replace_output(spark, target, lambda path: sinks.write_json_lines(out, path, "seq"))
     return target
 
 
-def report_step(spark: SparkSession, cleaned: str, report: str, schema: T.StructType) -> DataFrame:
+def report_step(spark: SparkSession, cleaned: str, report: str) -> DataFrame:
+    """Row count and mean length of a committed clean output."""
     if not sinks.is_complete(spark, cleaned):
         raise FileNotFoundError(f"{cleaned} is not a complete output")
-    summary = quality.clean_report(jsonl.strict_records(spark, cleaned, schema))
+    summary = quality.clean_report(jsonl.strict_records(spark, cleaned, PLAIN_DOC))
     sinks.write_json_report(summary, report)
     return summary
 
 
-def three_step_clean(
-    spark: SparkSession, raw: str, target: str, report: str, schema: T.StructType, order: str
-) -> DataFrame:
+def three_step_clean(spark: SparkSession, raw: str, target: str, report: str) -> DataFrame:
     """Clean, then report over what the clean step committed."""
-    return report_step(spark, clean_step(spark, raw, target, schema, order), report, schema)
+    return report_step(spark, clean_step(spark, raw, target), report)
 
 
 @dataclass(frozen=True)
@@ -105,8 +115,8 @@ def eval_cases(spark: SparkSession, path: str) -> DataFrame:
     An absent field is empty and an absent id 'unknown'; an explicit null is the
     text 'None', and numbers and booleans become text.
     """
-    lines = jsonl.numbered_lines(spark, path).where(jsonl.strip_text(F.col("value")) != "")
-    parsed = lines.select("seq", jsonl._strict_object(F.col("value")).alias("fields"))
+    lines = jsonl.numbered_lines(spark, path).where(strip_text(F.col("value")) != "")
+    parsed = lines.select("seq", jsonl.strict_object(F.col("value")).alias("fields"))
     fields = F.col("fields")
     shown = [
         jsonl.display_text(fields, name).alias(name)
@@ -133,14 +143,13 @@ def eval_regression(spark: SparkSession, path: str, report: str) -> Evaluation:
 
 def score_eval(spark: SparkSession, path: str, report: str, model: str, scorer=None) -> DataFrame:
     """Mean score of responses against references, with the per-case scores."""
-    cases = jsonl.strict_records(spark, path, SCORED_CASE)
-    scored = evals.scored_cases(cases, "id", scorer)
+    cases = jsonl.strict_records(spark, path, SCORED_CASE, order="seq")
+    scored = evals.scored_cases(cases, "seq", scorer).join(cases.select("seq", "id"), "seq")
     summary = evals.score_report(scored, model)
-    sinks.write_json_report(
-        sinks.with_list(summary.drop("n_cases"), scored, "id", F.struct("id", "score"), "cases"),
-        report,
-        cases=scored,
+    listed = sinks.with_list(
+        summary.drop("n_cases"), scored, "seq", F.struct("id", "score"), "cases"
     )
+    sinks.write_json_report(listed, report, cases=scored.select("seq", "id", "score"))
     return summary
 
 

@@ -9,7 +9,7 @@ from quern.sources.sinks import write_jsonl_counted
 
 
 def _write(found: DataFrame, target: str) -> int:
-    return write_jsonl_counted(found.select("rank", "url", "title", "text"), target, order="rank")
+    return write_jsonl_counted(found.select("rank", "url", "title", "text"), target, "rank", keep_order=False)
 
 
 def site_extract(

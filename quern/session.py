@@ -52,6 +52,18 @@ def scratch_path(spark: SparkSession, label: str) -> str:
     return f"{scratch_root(spark)}/quern/{uuid.uuid4().hex}/{label}"
 
 
+def hadoop_path(spark: SparkSession, path: str):
+    """(file system, path) of the storage that holds ``path``."""
+    context = spark.sparkContext
+    target = context._jvm.org.apache.hadoop.fs.Path(path)
+    return target.getFileSystem(context._jsc.hadoopConfiguration()), target
+
+
+def exists(spark: SparkSession, path: str) -> bool:
+    files, target = hadoop_path(spark, path)
+    return files.exists(target)
+
+
 def stage(df: DataFrame, label: str) -> DataFrame:
     """Write ``df`` to the scratch area and read it back.
 

@@ -102,18 +102,25 @@ def malformed_records(spark: SparkSession, path: str) -> DataFrame:
     return lenient_records(spark, path).where(F.col("text").isNull()).select("seq")
 
 
-def strict_records(spark: SparkSession, path: str, schema: T.StructType, blank: str = "skip") -> DataFrame:
+def strict_records(
+    spark: SparkSession, path: str, schema: T.StructType, blank: str = "skip", order: str | None = None
+) -> DataFrame:
     """Typed records; the first line that does not parse fails the job.
 
-    ``blank='fail'`` also fails on blank lines, ``'skip'`` ignores them.
+    ``blank='fail'`` also fails on blank lines, ``'skip'`` ignores them. ``order``
+    names a column for the place of the line in the input.
     """
-    if blank == "skip":
+    if blank == "skip" and order is None:
         return spark.read.schema(schema).option("mode", "FAILFAST").json(path)
-    lines = spark.read.text(path)
-    checked = F.when(strip_text(F.col("value")) == "", F.raise_error(F.lit("blank line"))).otherwise(
-        F.col("value")
-    )
-    return lines.select(F.from_json(checked, schema, {"mode": "FAILFAST"}).alias("r")).select("r.*")
+    lines = numbered_lines(spark, path) if order else spark.read.text(path)
+    value = F.col("value")
+    empty = strip_text(value) == ""
+    if blank == "skip":
+        lines = lines.where(~empty)
+    checked = F.when(empty, F.raise_error(F.lit("blank line"))).otherwise(value)
+    parsed = F.from_json(checked, schema, {"mode": "FAILFAST"}).alias("r")
+    kept = [F.col("seq").alias(order)] if order else []
+    return lines.select(*kept, parsed).select(*([order] if order else []), "r.*")
 
 
 def dataset_records(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
@@ -129,9 +136,12 @@ def missing_fields(fields: Column, required: list[str]) -> Column:
 
 
 def field_violations(spark: SparkSession, path: str, required: list[str]) -> DataFrame:
-    """(file, line, missing) of every record without all required keys."""
+    """(file, line, value, missing) of every record without all required keys."""
     parsed = numbered_lines(spark, path).select(
-        "file", "line", missing_fields(_strict_object(F.col("value")), required).alias("missing")
+        "file",
+        "line",
+        "value",
+        missing_fields(strict_object(F.col("value")), required).alias("missing"),
     )
     return parsed.where(F.size("missing") > 0)
 
@@ -143,7 +153,7 @@ def required_records(spark: SparkSession, path: str, schema: T.StructType) -> Da
     """
     names = schema.fieldNames()
     rows = numbered_lines(spark, path).select(
-        "seq", "line", "value", missing_fields(_strict_object(F.col("value")), names).alias("missing")
+        "seq", "line", "value", missing_fields(strict_object(F.col("value")), names).alias("missing")
     )
     message = F.concat(
         F.lit("line "), F.col("line").cast("string"), F.lit(" lacks fields: "), F.array_join("missing", ", ")
@@ -154,7 +164,8 @@ def required_records(spark: SparkSession, path: str, schema: T.StructType) -> Da
     )
 
 
-def _strict_object(value: Column) -> Column:
+def strict_object(value: Column) -> Column:
+    """As ``json_object``, but a line that is not an object fails the job."""
     fields = json_object(value)
     return F.when(fields.isNull(), F.raise_error(F.lit("line is not a JSON object"))).otherwise(fields)
 

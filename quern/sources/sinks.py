@@ -2,27 +2,38 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
+from quern.session import exists, hadoop_path
+
 # A report part with more entries than this is only written as rows.
 INLINE_ENTRIES = 10_000
 
 
-def write_jsonl(df: DataFrame, path: str, order: str | None = None) -> None:
+def in_order(df: DataFrame, order: str, keep: bool = True) -> DataFrame:
+    """Range-sorted rows: the part files, read by name, are in input order."""
+    placed = df.repartitionByRange(order).sortWithinPartitions(order)
+    return placed if keep else placed.drop(order)
+
+
+def write_jsonl(df: DataFrame, path: str, order: str | None = None, keep_order: bool = True) -> None:
     """One JSON object per line: UTF-8, nulls written, existing output replaced.
 
-    ``order`` range-sorts the rows, so that reading the part files by name gives
-    the input order.
+    ``keep_order=False`` leaves the ordering column out of the output.
     """
-    ordered = df.repartitionByRange(order).sortWithinPartitions(order) if order else df
-    ordered.write.mode("overwrite").option("ignoreNullFields", "false").json(path)
+    _save_json(in_order(df, order, keep_order) if order else df, path)
+
+
+def _save_json(df: DataFrame, path: str) -> None:
+    df.write.mode("overwrite").option("ignoreNullFields", "false").json(path)
 
 
 def write_json_lines(lines: DataFrame, path: str, order: str) -> None:
     """Write ready-made JSON texts (column ``value``) in the order of ``order``."""
-    ordered = lines.repartitionByRange(order).sortWithinPartitions(order)
-    ordered.select("value").write.mode("overwrite").text(path)
+    in_order(lines.select(order, "value"), order, keep=False).write.mode("overwrite").text(path)
 
 
 def write_split(df: DataFrame, keep: Column, path: str) -> None:
@@ -40,36 +51,41 @@ def write_parquet_counted(df: DataFrame, path: str) -> int:
     return seen.get["rows"]
 
 
-def write_jsonl_counted(df: DataFrame, path: str, order: str | None = None) -> int:
+def write_jsonl_counted(
+    df: DataFrame, path: str, order: str | None = None, keep_order: bool = True
+) -> int:
+    """Write JSON Lines and return the number of rows.
+
+    Counted after the sort: range partitioning samples its input, and rows below
+    it would be seen twice.
+    """
     seen = Observation()
-    write_jsonl(df.observe(seen, F.count(F.lit(1)).alias("rows")), path, order)
+    ordered = in_order(df, order, keep_order) if order else df
+    _save_json(ordered.observe(seen, F.count(F.lit(1)).alias("rows")), path)
     return seen.get["rows"]
 
 
-def replace_output(df: DataFrame, path: str, order: str | None = None) -> None:
-    """Write JSON Lines beside ``path``, then swap: a crash leaves no half output.
+def replace_output(spark: SparkSession, path: str, write: Callable[[str], None]) -> None:
+    """Let ``write`` fill a folder beside ``path``, then swap: no half output is seen.
 
     The old output is moved aside first and removed after the swap.
     """
-    spark = df.sparkSession
     fresh, old = f"{path}.tmp", f"{path}.old"
-    write_jsonl(df, fresh, order)
-    jvm = spark.sparkContext._jvm
-    to_path = jvm.org.apache.hadoop.fs.Path
-    files = to_path(path).getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    files.delete(to_path(old), True)
-    if files.exists(to_path(path)) and not files.rename(to_path(path), to_path(old)):
+    write(fresh)
+    files, target = hadoop_path(spark, path)
+    _, ready = hadoop_path(spark, fresh)
+    _, aside = hadoop_path(spark, old)
+    files.delete(aside, True)
+    if files.exists(target) and not files.rename(target, aside):
         raise OSError(f"cannot move {path} aside")
-    if not files.rename(to_path(fresh), to_path(path)):
+    if not files.rename(ready, target):
         raise OSError(f"cannot move {fresh} to {path}")
-    files.delete(to_path(old), True)
+    files.delete(aside, True)
 
 
 def is_complete(spark: SparkSession, path: str) -> bool:
     """True when a job has committed its whole output to ``path``."""
-    jvm = spark.sparkContext._jvm
-    marker = jvm.org.apache.hadoop.fs.Path(f"{path}/_SUCCESS")
-    return marker.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(marker)
+    return exists(spark, f"{path}/_SUCCESS")
 
 
 def with_map(report: DataFrame, rows: DataFrame, key: str, value: str, name: str) -> DataFrame:
