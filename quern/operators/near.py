@@ -11,13 +11,14 @@ from quern.functions.hashing import hamming
 from quern.session import stage, stage_counted
 
 MAX_DISTANCE = 3
-# Buckets above this many fingerprints are split further instead of compared.
+# Buckets above this many fingerprints are split further where that pays.
 BUCKET_ROWS = 512
 # Crowded buckets are looked up by broadcast up to this many; beyond that every
 # bucket is split, which is just as exact.
 MAX_CROWDED = 300_000
-
-_ALL_BITS = (1 << 64) - 1
+# Levels of splitting. At distance 3 the sixth leaves 11 free bits, so that no
+# bucket can hold more than 2,048 fingerprints.
+MAX_LEVELS = 6
 
 
 def _signed(value: int) -> int:
@@ -29,7 +30,7 @@ def _narrower(mask: int, parts: int) -> list[int]:
 
     Two fingerprints that agree on ``mask`` and differ in fewer than ``parts``
     bits agree on at least one of these (pigeonhole). Empty when too few bits
-    are free; such a bucket holds at most ``2 ** (parts - 1)`` fingerprints.
+    are free.
     """
     free = [bit for bit in range(64) if not mask >> bit & 1]
     if len(free) < parts:
@@ -38,14 +39,26 @@ def _narrower(mask: int, parts: int) -> list[int]:
     return [mask | sum(1 << b for b in free[lo:hi]) for lo, hi in zip(cuts, cuts[1:])]
 
 
-def _compare(keyed: DataFrame, max_distance: int) -> DataFrame:
-    """Pairs within a bucket; buckets are at most BUCKET_ROWS large here."""
-    left = keyed.select("mask", "pin", F.col("seq").alias("a"), F.col("fp").alias("fa"))
-    right = keyed.select("mask", "pin", F.col("seq").alias("b"), F.col("fp").alias("fb"))
-    close = left.join(right, ["mask", "pin"]).where(
-        (F.col("a") < F.col("b")) & (hamming(F.col("fa"), F.col("fb")) <= max_distance)
+def _compare(keyed: DataFrame, max_distance: int, cells: bool = False) -> DataFrame:
+    """Pairs within a bucket (mask, pin).
+
+    With ``cells`` a bucket of ``n`` rows is compared in square cells of about
+    BUCKET_ROWS by BUCKET_ROWS, so that no task gets a whole crowded bucket.
+    """
+    on = ["mask", "pin"]
+    left = keyed.select(*on, F.col("seq").alias("a"), F.col("fp").alias("fa"), *(["n"] if cells else []))
+    right = keyed.select(*on, F.col("seq").alias("b"), F.col("fp").alias("fb"), *(["n"] if cells else []))
+    if cells:
+        width = F.ceil(F.col("n") / BUCKET_ROWS)
+        every = F.explode(F.sequence(F.lit(0), width - 1))
+        left = left.withColumn("_i", F.pmod(F.xxhash64("a"), width)).withColumn("_j", every)
+        right = right.withColumn("_j", F.pmod(F.xxhash64("b"), width)).withColumn("_i", every)
+        on = [*on, "_i", "_j"]
+    distance = hamming(F.col("fa"), F.col("fb"))
+    close = left.drop("n").join(right.drop("n"), on)
+    return close.where((F.col("a") < F.col("b")) & (distance <= max_distance)).select(
+        "a", "b", distance.alias("distance")
     )
-    return close.select("a", "b", hamming(F.col("fa"), F.col("fb")).alias("distance"))
 
 
 def near_dup_pairs(
@@ -56,9 +69,10 @@ def near_dup_pairs(
     A bucket is a set of pinned bits and their value. The first level pins one
     of ``max_distance + 1`` bit groups; every pair in question shares a bucket.
     Buckets that are too crowded to compare pin one more group of their free
-    bits, with copies only of their own rows, until all are small. So the key
-    width follows the data: 16 bits for millions of fingerprints, 28 or 37 where
-    there are billions or where one band value is common.
+    bits, with copies only of their own rows. So the key width follows the data:
+    16 bits for millions of fingerprints, 28 or 37 where there are billions or
+    where one band value is common. A crowded bucket that splitting would not
+    make cheaper is a dense cluster; it is compared in cells over many tasks.
 
     The result cannot explode: of distinct fingerprints at most 128 can all lie
     within distance 3 of each other (Kleitman's diameter bound), and none has
@@ -70,38 +84,63 @@ def near_dup_pairs(
     masks = _narrower(0, parts)
     pending = prints.select("seq", "fp", F.explode(_mask_array(masks)).alias("mask"))
     found = []
-    while True:
+    for level in range(MAX_LEVELS):
         keyed = pending.withColumn("pin", F.col("fp").bitwiseAND(F.col("mask")))
-        splits = {mask: _narrower(mask, parts) for mask in masks}
-        if not all(splits.values()):
-            found.append(_compare(keyed, max_distance))
-            break
         sizes = keyed.groupBy("mask", "pin").agg(F.count(F.lit(1)).alias("n"))
-        crowded, n_crowded = stage_counted(
-            sizes.where(F.col("n") > bucket_rows).select("mask", "pin"), "crowded"
-        )
+        crowded, n_crowded = stage_counted(sizes.where(F.col("n") > bucket_rows), "crowded")
         if n_crowded == 0:
             found.append(_compare(keyed, max_distance))
             break
-        dense = keyed
-        if n_crowded <= MAX_CROWDED:
-            lookup = F.broadcast(crowded)
-            found.append(_compare(keyed.join(lookup, ["mask", "pin"], "left_anti"), max_distance))
-            dense = keyed.join(lookup, ["mask", "pin"], "left_semi")
-        table = F.create_map(
-            *[x for mask, inner in splits.items() for x in (_mask(mask), _mask_array(inner))]
+        splits = {mask: _narrower(mask, parts) for mask in masks}
+        last = level == MAX_LEVELS - 1 or not all(splits.values())
+        if n_crowded > MAX_CROWDED and not last:
+            pending, masks = _split(keyed, splits), _inner(splits)
+            continue
+        lookup = F.broadcast(crowded) if n_crowded <= MAX_CROWDED else crowded
+        found.append(
+            _compare(keyed.join(lookup.drop("n"), ["mask", "pin"], "left_anti"), max_distance)
+        )
+        dense = keyed.join(lookup, ["mask", "pin"])
+        if last:
+            found.append(_compare(dense, max_distance, cells=True))
+            break
+        worth = stage(_worth_splitting(dense, splits), "worth")
+        chosen = F.broadcast(worth)
+        found.append(
+            _compare(dense.join(chosen, ["mask", "pin"], "left_anti"), max_distance, cells=True)
         )
-        pending = dense.select("seq", "fp", F.explode(table[F.col("mask")]).alias("mask"))
-        masks = sorted({m for inner in splits.values() for m in inner})
+        pending = _split(dense.join(chosen, ["mask", "pin"], "left_semi"), splits)
+        masks = _inner(splits)
     return reduce(DataFrame.unionByName, found).distinct()
 
 
-def _mask(mask: int):
-    return F.lit(_signed(mask & _ALL_BITS)).cast("long")
+def _split(keyed: DataFrame, splits: dict[int, list[int]], *keep: str) -> DataFrame:
+    """Each row once per narrower mask; the table of masks has at most 4**5 rows at distance 3."""
+    rows = [(_signed(mask), [_signed(m) for m in inner]) for mask, inner in splits.items()]
+    table = keyed.sparkSession.createDataFrame(rows, "mask long, inner array<long>")
+    exploded = keyed.join(F.broadcast(table), "mask").select(
+        *keep, "seq", "fp", F.explode("inner").alias("_mask")
+    )
+    return exploded if keep else exploded.withColumnRenamed("_mask", "mask")
+
+
+def _inner(splits: dict[int, list[int]]) -> list[int]:
+    return sorted({mask for inner in splits.values() for mask in inner})
+
+
+def _worth_splitting(dense: DataFrame, splits: dict[int, list[int]]) -> DataFrame:
+    """(mask, pin) of the crowded buckets that at most half the comparisons would be left of."""
+    parts = _split(dense, splits, "mask", "pin", "n")
+    inner = parts.groupBy("mask", "pin", "_mask", F.col("fp").bitwiseAND(F.col("_mask")).alias("_pin"))
+    sizes = inner.agg(F.count(F.lit(1)).cast("double").alias("m"), F.any_value("n").alias("n"))
+    costs = sizes.groupBy("mask", "pin").agg(
+        F.sum(F.col("m") * F.col("m")).alias("cost"), F.any_value("n").cast("double").alias("n")
+    )
+    return costs.where(2 * F.col("cost") < F.col("n") * F.col("n")).select("mask", "pin")
 
 
 def _mask_array(masks: list[int]):
-    return F.array(*[_mask(m) for m in masks])
+    return F.array(*[F.lit(_signed(mask)).cast("long") for mask in masks])
 
 
 def greedy_losers(edges: DataFrame) -> DataFrame:
