@@ -9,19 +9,19 @@ from quern.functions.hashing import simhash64
 from quern.operators import exact, near
 from quern.operators.outcomes import Decisions, record_traits
 from quern.plans.prepare import prepare
-from quern.session import spread
+from quern.session import scratch_path, spread, stage
+from quern.streaming.ingest import prepare_stream
 
 WIDE_DISTANCE = 10
 
 
 def _docs(spark, sf):
-    return table(spark, sf, "documents")
+    return spread(table(spark, sf, "documents"), "doc_id")
 
 
 def _prints(spark, sf):
     """(seq, fp) of all documents, MD5 family."""
-    docs = spread(_docs(spark, sf).select("doc_id", "text"), "doc_id")
-    return docs.select(F.col("doc_id").alias("seq"), simhash64(F.col("text"), "md5").alias("fp"))
+    return _docs(spark, sf).select(F.col("doc_id").alias("seq"), simhash64(F.col("text"), "md5").alias("fp"))
 
 
 def _heads(prints):
@@ -52,13 +52,13 @@ def exact_dedup_text(spark, sf):
 
 @query("near_dup_pairs", f"{_greedy(3)} SELECT a, b, distance FROM edges")
 def near_dup_pairs(spark, sf):
-    pairs = near.near_dup_pairs(_heads(_prints(spark, sf)))
+    pairs = near.near_dup_pairs(stage(_heads(_prints(spark, sf)), "heads"))
     return pairs.withColumn("distance", F.col("distance").cast("bigint"))
 
 
 @query("near_dup_pairs_wide", f"{_greedy(WIDE_DISTANCE)} SELECT a, b, distance FROM edges")
 def near_dup_pairs_wide(spark, sf):
-    pairs = near.near_dup_pairs(_heads(_prints(spark, sf)), WIDE_DISTANCE)
+    pairs = near.near_dup_pairs(stage(_heads(_prints(spark, sf)), "heads"), WIDE_DISTANCE)
     return pairs.withColumn("distance", F.col("distance").cast("bigint"))
 
 
@@ -92,7 +92,7 @@ _OUTCOMES = f"""WITH RECURSIVE {sql.distinct_clean_ctes()},{sql.votes_ctes('firs
 
 
 def _decisions(spark, sf, family="md5"):
-    return Decisions(record_traits(_docs(spark, sf), "doc_id", family=family))
+    return Decisions(record_traits(table(spark, sf, "documents"), "doc_id", family=family))
 
 
 @query("prepare_outcomes", f"{_OUTCOMES} SELECT doc_id, status FROM outcomes")
@@ -120,15 +120,37 @@ def prepare_stats(spark, sf):
 )
 def corpus_prepare(spark, sf):
     """MD5 family, which SQL can follow."""
-    return prepare(_docs(spark, sf), family="md5").kept
+    return prepare(table(spark, sf, "documents"), family="md5").kept
 
 
 @query("corpus_prepare_blake2b")
 def corpus_prepare_blake2b(spark, sf):
     """The default family."""
-    return prepare(_docs(spark, sf)).kept
+    return prepare(table(spark, sf, "documents")).kept
 
 
 @query("prepare_outcomes_blake2b")
 def prepare_outcomes_blake2b(spark, sf):
     return _decisions(spark, sf, "blake2b").outcomes().withColumnRenamed("seq", "doc_id")
+
+
+@query(
+    "incremental_prepare",
+    f"""{_OUTCOMES} SELECT doc_id, c.text FROM cleaned c JOIN outcomes o USING (doc_id)
+    WHERE o.status = 'kept'""",
+)
+def incremental_prepare(spark, sf):
+    """All documents as a stream of three files in ``doc_id`` order, prepared batch by batch."""
+    path = scratch_path(spark, "stream")
+    docs = table(spark, sf, "documents").select("doc_id", "text")
+    last = docs.agg(F.max("doc_id")).first()[0]
+    for part in range(3):
+        low, high = part * (last + 1) // 3, (part + 1) * (last + 1) // 3
+        span = docs.where((F.col("doc_id") >= low) & (F.col("doc_id") < high))
+        span.coalesce(1).write.mode("append").parquet(f"{path}/in")
+    stream = spark.readStream.schema(docs.schema).option("maxFilesPerTrigger", 1).parquet(f"{path}/in")
+    started = prepare_stream(
+        stream, f"{path}/out", f"{path}/state", f"{path}/checkpoint", family="md5"
+    )
+    started.awaitTermination()
+    return spark.read.schema("doc_id long, text string").parquet(f"{path}/out").select("doc_id", "text")

@@ -8,10 +8,11 @@ from quern.catalog import query, sql, table
 from quern.functions import hashing, text
 from quern.operators import filters, quality
 from quern.operators.votes import simhash64_md5, simhash_votes
+from quern.session import spread
 
 
 def _docs(spark, sf):
-    return table(spark, sf, "documents")
+    return spread(table(spark, sf, "documents"), "doc_id")
 
 
 # Documents have no phone numbers, so one is added to every text.
@@ -211,7 +212,7 @@ def row_filter_map(spark, sf):
        coalesce(max(length(text)), 0)::BIGINT AS max_chars FROM documents""",
 )
 def quality_report(spark, sf):
-    report = quality.quality_report(quality.quality_features(_docs(spark, sf)))
+    report = quality.quality_report(quality.quality_features(table(spark, sf, "documents")))
     return report.withColumns(
         {name: F.col(name).cast("bigint") for name in ("min_chars", "max_chars")}
     )
@@ -233,7 +234,7 @@ _BY_SOURCE = """SELECT CASE WHEN doc_id % 17 <> 0 THEN source END AS source, cou
 def rows_by_source(spark, sf):
     """Every 17th source is taken as missing, which makes a group of its own."""
     source = F.when(F.col("doc_id") % 17 != 0, F.col("source"))
-    return quality.rows_by_source(_docs(spark, sf).select(source.alias("source")))
+    return quality.rows_by_source(table(spark, sf, "documents").select(source.alias("source")))
 
 
 @query(
@@ -241,7 +242,7 @@ def rows_by_source(spark, sf):
     "SELECT source, count(*) AS rows FROM documents GROUP BY source ORDER BY rows DESC, source",
 )
 def sources_by_rows(spark, sf):
-    return quality.sources_by_rows(_docs(spark, sf))
+    return quality.sources_by_rows(table(spark, sf, "documents"))
 
 
 @query(
@@ -249,7 +250,7 @@ def sources_by_rows(spark, sf):
     "SELECT count(*) AS clean_rows, coalesce(round(avg(length(text)), 2), 0.0) AS average_chars FROM documents",
 )
 def clean_report(spark, sf):
-    return quality.clean_report(_docs(spark, sf))
+    return quality.clean_report(table(spark, sf, "documents"))
 
 
 @query(

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from urllib.parse import urlparse
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
 from quern.functions.urls import same_hostname, same_netloc
@@ -53,13 +53,16 @@ def discover(
     edges = stage(edges.select("url", "pos", "dst"), "links")
     folder = scratch_path(spark, "seen")
 
-    def level_table(depth: int, rows: DataFrame) -> DataFrame:
-        path = f"{folder}/level={depth}"
-        rows.select("url", F.col("rank").cast("long"), F.lit(depth).alias("depth")).write.parquet(path)
-        return spark.read.schema(_SEEN).parquet(path)
+    def level_table(depth: int, rows: DataFrame) -> tuple[DataFrame, int]:
+        path, seen = f"{folder}/level={depth}", Observation()
+        columns = ["url", F.col("rank").cast("long"), F.lit(depth).alias("depth")]
+        counted = rows.select(*columns).observe(seen, F.count(F.lit(1)).alias("rows"))
+        counted.write.parquet(path)
+        return spark.read.schema(_SEEN).parquet(path), seen.get["rows"]
 
     start = spark.range(1).select(F.lit(start_url).alias("url"), F.lit(1).alias("rank"))
-    level, found, depth = level_table(0, start), 1, 0
+    level, found = level_table(0, start)
+    depth = 0
     while (max_pages is None or found < max_pages) and (max_depth is None or depth < max_depth):
         seen = spark.read.schema(_SEEN).parquet(folder)
         links = level.select("url", "rank").join(edges, "url")
@@ -71,8 +74,7 @@ def discover(
         else:
             ranked = number_rows(ordered, ["parent", "pos"], "rank", found + 1)
         depth += 1
-        level = level_table(depth, ranked)
-        added = level.count()
+        level, added = level_table(depth, ranked)
         found += added
         if not added:
             break

@@ -5,11 +5,13 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from quern.session import stage
+from quern.session import stage, stage_counted
 
 # monotonically_increasing_id() keeps the partition in the upper bits and the
 # row's place within it in the lower 33.
 _ROW_BITS = 33
+# One task may sort this many narrow rows.
+SMALL_ROWS = 100_000
 
 
 def with_offsets(placed: DataFrame, number: str, start: int = 1) -> DataFrame:
@@ -33,13 +35,18 @@ def with_offsets(placed: DataFrame, number: str, start: int = 1) -> DataFrame:
 
 
 def number_rows(df: DataFrame, order: list[str], number: str, start: int = 1) -> DataFrame:
-    """Add ``number``: 1, 2, ... in the order of the columns ``order``.
+    """Add ``number``: start, start + 1, ... in the order of the columns ``order``.
 
-    Rows are range-partitioned and sorted by Spark; only partition sizes are
-    brought together.
+    The rows are written once and counted. Up to SMALL_ROWS of them are numbered
+    by a plain window; more are range-partitioned and sorted by Spark, and only
+    partition sizes are brought together.
     """
+    rows, n = stage_counted(df, "unnumbered")
+    if n <= SMALL_ROWS:
+        place = F.row_number().over(Window.orderBy(*order)).cast("long")
+        return rows.withColumn(number, place + (start - 1))
     placed = (
-        df.repartitionByRange(*order)
+        rows.repartitionByRange(*order)
         .sortWithinPartitions(*order)
         .withColumn("_at", F.monotonically_increasing_id())
     )

@@ -53,7 +53,13 @@ class Decisions:
     from them lazily.
     """
 
-    def __init__(self, traits: DataFrame, max_distance: int = MAX_DISTANCE):
+    def __init__(
+        self,
+        traits: DataFrame,
+        max_distance: int = MAX_DISTANCE,
+        known: DataFrame | None = None,
+    ):
+        """``known`` (key, seq, fp): texts kept before, all ordered before these records."""
         self.traits = stage(traits, "traits")
         distinct = stage(
             self.traits.where(F.col("early").isNull())
@@ -65,17 +71,41 @@ class Decisions:
             ),
             "distinct",
         )
-        survivors = near_dedup_greedy(
-            distinct.select(F.col("first_seq").alias("seq"), "fp"), max_distance
-        )
+        fresh = distinct
+        if known is not None:
+            fresh = distinct.join(known.select("key"), "key", "left_anti")
+        prints = fresh.select(F.col("first_seq").alias("seq"), "fp")
+        if known is not None:
+            prints = prints.unionByName(known.select("seq", "fp"))
+        survivors = near_dedup_greedy(prints, max_distance)
         kept = survivors.select(F.col("seq").alias("first_seq"), F.lit(True).alias("kept"))
-        self.texts = stage(
-            distinct.drop("fp").join(kept, "first_seq", "left").fillna(False, ["kept"]), "texts"
-        )
+        texts = distinct.join(kept, "first_seq", "left").fillna(False, ["kept"])
+        if known is not None:
+            # A text kept before makes all its records here later copies of it.
+            before = known.select("key", F.col("seq").alias("_before"))
+            texts = texts.join(before, "key", "left").select(
+                F.coalesce("_before", "first_seq").alias("first_seq"),
+                "key",
+                F.when(F.col("_before").isNotNull(), F.col("copies") + 1)
+                .otherwise(F.col("copies"))
+                .alias("copies"),
+                "fp",
+                (F.col("kept") | F.col("_before").isNotNull()).alias("kept"),
+                F.col("_before").isNull().alias("new"),
+            )
+        else:
+            texts = texts.withColumn("new", F.lit(True))
+        self.texts = stage(texts, "texts")
 
     def kept(self) -> DataFrame:
-        """(seq) of the kept records."""
-        return self.texts.where("kept").select(F.col("first_seq").alias("seq"))
+        """(seq) of the records kept here."""
+        return self.kept_texts().select("seq")
+
+    def kept_texts(self) -> DataFrame:
+        """(key, seq, fp) of the texts kept here."""
+        return self.texts.where("kept AND new").select(
+            "key", F.col("first_seq").alias("seq"), "fp"
+        )
 
     def outcomes(self, hot_rows: int = HOT_ROWS) -> DataFrame:
         """(seq, status) of every record.
@@ -109,7 +139,7 @@ class Decisions:
         dup = self.texts.agg(
             total(F.when(F.col("kept"), F.col("copies") - 1)).alias("exact_duplicate"),
             total(F.when(~F.col("kept"), F.col("copies"))).alias("near_duplicate"),
-            F.count_if("kept").alias("kept"),
+            F.count_if(F.col("kept") & F.col("new")).alias("kept"),
         )
         # Two one-row results side by side.
         return early.withColumn("_one", F.lit(1)).join(

@@ -11,6 +11,7 @@ from quern.functions.text import clean_text
 from quern.operators.filters import MIN_CLEAN_CHARS
 from quern.operators.near import MAX_DISTANCE
 from quern.operators.outcomes import Decisions, record_traits
+from quern.session import spread
 from quern.sources.jsonl import lenient_records, replace_text
 from quern.sources.sinks import write_json_report, write_json_lines
 
@@ -47,7 +48,7 @@ def prepare(
     is not moved at all.
     """
     decisions = Decisions(record_traits(docs, order, text, min_chars, family), max_distance)
-    kept = docs.join(
+    kept = spread(docs, order).join(
         decisions.kept().withColumnRenamed("seq", order), order, "left_semi"
     ).withColumn(text, clean_text(F.col(text)))
     return Prepared(kept, decisions)

@@ -48,8 +48,21 @@ def scratch_root(spark: SparkSession) -> str:
 
 
 def scratch_path(spark: SparkSession, label: str) -> str:
-    """A new, unused path below the scratch root."""
-    return f"{scratch_root(spark)}/quern/{uuid.uuid4().hex}/{label}"
+    """A new, unused path in this application's part of the scratch root."""
+    return f"{_application_folder(spark)}/{uuid.uuid4().hex}/{label}"
+
+
+def drop_scratch(spark: SparkSession) -> None:
+    """Delete this application's intermediate tables.
+
+    Call it when no result that still reads them is needed; results are lazy.
+    """
+    files, target = hadoop_path(spark, _application_folder(spark))
+    files.delete(target, True)
+
+
+def _application_folder(spark: SparkSession) -> str:
+    return f"{scratch_root(spark)}/quern/{spark.sparkContext.applicationId}"
 
 
 def hadoop_path(spark: SparkSession, path: str):
@@ -82,12 +95,18 @@ def stage_counted(df: DataFrame, label: str) -> tuple[DataFrame, int]:
     return staged, seen.get["rows"]
 
 
+# Inputs below this many bytes per core are spread over the cores.
+SMALL_BYTES_PER_CORE = 16 << 20
+
+
 def spread(df: DataFrame, key: str) -> DataFrame:
-    """Use all cores before heavy per-row work on an input of few splits.
+    """Use all cores before heavy per-row work on a small input of few splits.
 
-    Large inputs have more splits than cores and are left where they are.
+    A large input has more splits than cores and is left where it is. The size
+    is the planner's estimate; nothing is run to find it.
     """
     cores = df.sparkSession.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() >= cores:
+    size = df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()
+    if int(str(size)) > cores * SMALL_BYTES_PER_CORE:
         return df
     return df.repartition(cores, key)

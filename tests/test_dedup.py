@@ -8,6 +8,7 @@ from quern.operators.numbering import number_rows
 from quern.operators.outcomes import Decisions, record_traits
 from quern.operators.skew import join_groups
 from quern.plans.prepare import prepare
+from quern.streaming.ingest import prepare_stream
 
 
 def signed(value):
@@ -177,3 +178,38 @@ def test_exact_dedup_keeps_the_first(spark):
     data = docs(spark, "  tiny ", " some longer text here ", "some longer text here", "another long text!")
     kept = exact.exact_dedup_text(data).collect()
     assert sorted((r.doc_id, r.text) for r in kept) == [(1, "some longer text here"), (3, "another long text!")]
+
+
+def test_dense_bucket_is_compared_in_cells(spark, monkeypatch):
+    """A cluster that splitting cannot thin out, in cells of about eight rows a side."""
+    rng = random.Random(11)
+    rows = {fp: seq for seq, fp in clustered(300, 1, rng, flips=3)}
+    prints = [(seq, fp) for fp, seq in rows.items()]
+    df = spark.createDataFrame(prints, "seq long, fp long")
+    want = sorted(map(tuple, near.near_dup_pairs(df, 3, 10_000).collect()))
+    monkeypatch.setattr(near, "BUCKET_ROWS", 8)
+    assert sorted(map(tuple, near.near_dup_pairs(df, 3, 60).collect())) == want and want
+
+
+def test_stream_equals_batch(spark, tmp_path):
+    near_a, near_b = "да нет " * 20, "или так " * 20
+    texts = [A, "short", A, near_a, None, near_b, A, near_a, near_b, A + " once more and again", "x" * 90]
+    data = docs(spark, *texts)
+    for low, high in [(0, 4), (4, 7), (7, 11)]:
+        span = data.where((F.col("doc_id") >= low) & (F.col("doc_id") < high))
+        span.coalesce(1).write.mode("append").parquet(f"{tmp_path}/in")
+    stream = spark.readStream.schema(data.schema).option("maxFilesPerTrigger", 1).parquet(f"{tmp_path}/in")
+    folders = [f"{tmp_path}/{name}" for name in ("out", "state", "checkpoint")]
+    prepare_stream(stream, *folders).awaitTermination()
+    got = spark.read.schema(data.schema).parquet(folders[0]).select("doc_id", "text")
+    want = prepare(data).kept.select("doc_id", "text")
+    assert sorted(map(tuple, got.collect())) == sorted(map(tuple, want.collect()))
+    assert want.count() == 4
+
+
+def test_known_texts_count_as_seen(spark):
+    first = Decisions(record_traits(docs(spark, A, "да нет " * 20), "doc_id"))
+    later = docs(spark, None, None, A, "или так " * 20, A, "y" * 90).where("doc_id > 1")
+    decisions = Decisions(record_traits(later, "doc_id"), known=first.kept_texts())
+    assert statuses(decisions) == ["exact_duplicate", "near_duplicate", "exact_duplicate", "kept"]
+    assert list(decisions.stats().first()) == [4, 0, 0, 2, 1, 1]
