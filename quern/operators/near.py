@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from quern.functions.hashing import hamming
-from quern.session import stage, stage_counted
+from quern.session import scratch_path, stage, stage_counted
 
 MAX_DISTANCE = 3
 # Buckets above this many fingerprints are split further where that pays.
@@ -20,6 +20,8 @@ MAX_CROWDED = 300_000
 # bucket can hold more than 2,048 fingerprints.
 MAX_LEVELS = 6
 
+_SEQ = "seq long"
+
 
 def _signed(value: int) -> int:
     return value - (1 << 64) if value >> 63 else value
@@ -151,22 +153,24 @@ def greedy_losers(edges: DataFrame) -> DataFrame:
     Runs until no undecided edge is left, however many rounds that takes; the
     work per round is one pass over the remaining edges.
     """
+    spark = edges.sparkSession
     live, left = stage_counted(edges.select("a", "b"), "edges")
-    lost = [live.select(F.col("b").alias("seq")).limit(0)]
+    folder, rounds = scratch_path(spark, "beaten"), 0
     while left:
         waiting = live.select(F.col("b").alias("a")).distinct()
-        beaten = stage(
-            live.join(waiting, "a", "left_anti").select(F.col("b").alias("seq")).distinct(),
-            "beaten",
-        )
-        lost.append(beaten)
+        path = f"{folder}/round={rounds}"
+        live.join(waiting, "a", "left_anti").select(F.col("b").alias("seq")).distinct().write.parquet(path)
+        beaten = spark.read.schema(_SEQ).parquet(path)
         live, left = stage_counted(
             live.join(beaten.withColumnRenamed("seq", "b"), "b", "left_anti")
             .join(beaten.withColumnRenamed("seq", "a"), "a", "left_anti")
             .select("a", "b"),
             "edges",
         )
-    return reduce(DataFrame.unionByName, lost)
+        rounds += 1
+    if not rounds:
+        return spark.createDataFrame([], _SEQ)
+    return spark.read.schema(_SEQ).parquet(folder).select("seq")
 
 
 def near_dedup_greedy(

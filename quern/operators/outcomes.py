@@ -30,7 +30,9 @@ def record_traits(
     text, or short); key and fingerprint are null then. Fingerprints are taken
     in the scan, also for copies: that is cheaper than moving texts first.
     """
-    given = spread(docs.select(F.col(order).alias("seq"), F.col(text).alias("text")), "seq")
+    given = spread(
+        docs.select(F.col(order).cast("long").alias("seq"), F.col(text).alias("text")), "seq"
+    )
     cleaned = given.select("seq", clean_text(F.col("text")).alias("clean"))
     early = F.when(F.col("clean").isNull(), "invalid").when(
         F.length("clean") < min_chars, "short"

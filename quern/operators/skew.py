@@ -25,9 +25,12 @@ def join_groups(
 
     Keys with ``hot_rows`` rows or more are broadcast, so their rows never meet
     in one task. The threshold rises with the data so that no more than
-    ``max_keys`` keys can reach it. All other keys are shuffled.
+    ``max_keys`` keys can reach it. All other keys are shuffled. Where there are
+    no more keys than that in all, all are broadcast.
     """
-    total, largest = groups.agg(F.sum(size), F.max(size)).first()
+    n_keys, total, largest = groups.agg(F.count(F.lit(1)), F.sum(size), F.max(size)).first()
+    if n_keys <= max_keys:
+        return rows.join(F.broadcast(groups), key)
     limit = max(hot_rows, math.ceil((total or 0) / max_keys))
     if (largest or 0) < limit:
         return rows.join(groups, key)

@@ -181,6 +181,7 @@ def display_text(fields: Column, name: str, absent: str = "") -> Column:
         F.when(kind == "VOID", "None")
         .when(kind == "STRING", F.try_variant_get(value, "$", "string"))
         .when(kind == "BOOLEAN", F.initcap(F.to_json(value)))
+        .when(kind.rlike("^(DECIMAL|DOUBLE)"), F.try_variant_get(value, "$", "double").cast("string"))
         .otherwise(F.to_json(value))
     )
     return F.when(F.map_contains_key(fields, name), shown).otherwise(F.lit(absent))

@@ -91,8 +91,10 @@ def test_hot_keys_join_in_two_ways(spark):
     )
     groups = rows.groupBy("k").agg(F.count("*").alias("n"), F.min("id").alias("first"))
     plain = rows.join(groups, "k")
-    split = join_groups(rows, groups, "k", "n", hot_rows=100)
+    split = join_groups(rows, groups, "k", "n", hot_rows=100, max_keys=3)
     assert split.count() == 1000
+    everywhere = join_groups(rows, groups, "k", "n")
+    assert everywhere.exceptAll(plain.select(*everywhere.columns)).isEmpty()
     assert split.exceptAll(plain.select(*split.columns)).isEmpty()
 
 

@@ -151,6 +151,8 @@ def test_eval_job(spark, write, tmp_path):
     assert scores[1].candidate_f1 == 1.0 and scores[1].baseline_f1 == 0.0
     assert scores[2].baseline_f1 == pytest.approx(0.8)
     assert scores[5].exact_match and scores[5].candidate_f1 == 0.0
+    shown = {r.seq: (r.expected, r.candidate, r.baseline) for r in reports.eval_cases(spark, source).collect()}
+    assert shown[6] == ("1.5", "True", "") and shown[4][1] == "None"
     empty = reports.evaluate(reports.eval_cases(spark, write("", name="none.jsonl"))).summary.first()
     assert list(empty) == [0, 0.0, 0.0, 0.0]
 

@@ -94,8 +94,8 @@ def test_features_and_reports(spark):
     featured = quality.quality_features(docs.union(docs.where("id = '2'")))
     assert quality.quality_report(featured).first().asDict() == {
         "total_rows": 5,
-        "unique_texts": 3,
-        "duplicate_rows": 2,
+        "unique_texts": 4,
+        "duplicate_rows": 1,
         "average_chars": 8.5,
         "min_chars": 5,
         "max_chars": 11,
