@@ -14,7 +14,6 @@ from pyspark.sql import types as T
 
 from .text import SHINGLE_TOKENS, TOKEN_PATTERN
 
-FAMILIES = ("blake2b", "md5")
 _VOTE_CHUNK = 1 << 15
 
 
@@ -32,31 +31,35 @@ def content_hash(text: Column) -> Column:
     return F.xxhash64(text)
 
 
-def _fingerprint(text: str, token, digest) -> int:
+def _blake2b_all(pieces: list[bytes]) -> bytes:
+    return b"".join([blake2b(piece, digest_size=8).digest() for piece in pieces])
+
+
+def _md5_all(pieces: list[bytes]) -> bytes:
+    return b"".join([md5(piece).digest()[:8] for piece in pieces])
+
+
+def _fingerprint(text: str, token, digests) -> int:
     words = token.findall(text.lower())
     if not words:
         return 0
     # Shingles are slices of one joined buffer; word ends give the cut points.
-    joined = memoryview(" ".join(words).encode())
-    ends = list(accumulate(len(w.encode()) + 1 for w in words))
-    starts = [0, *ends[: max(0, len(words) - SHINGLE_TOKENS)]]
+    joined = " ".join(words).encode()
+    sizes = map(len, words) if joined.isascii() else (len(w.encode()) for w in words)
+    ends = list(accumulate(sizes, lambda end, size: end + 1 + size))
+    starts = [0, *(end + 1 for end in ends[: max(0, len(words) - SHINGLE_TOKENS)])]
     stops = ends[min(SHINGLE_TOKENS, len(words)) - 1 :]
     ones = np.zeros(64, dtype=np.int64)
     for at in range(0, len(starts), _VOTE_CHUNK):
         part = zip(starts[at : at + _VOTE_CHUNK], stops[at : at + _VOTE_CHUNK])
-        raw = b"".join([digest(joined[a : b - 1]) for a, b in part])
+        raw = digests([joined[a:b] for a, b in part])
         bits = np.unpackbits(np.frombuffer(raw, dtype=np.uint8).reshape(-1, 8), axis=1)
         ones += bits.sum(axis=0, dtype=np.int64)
     majority = np.packbits(2 * ones >= len(starts))
     return int.from_bytes(majority.tobytes(), "big", signed=True)
 
 
-def _digest_for(family: str):
-    if family == "blake2b":
-        return lambda piece: blake2b(piece, digest_size=8).digest()
-    if family == "md5":
-        return lambda piece: md5(piece).digest()[:8]
-    raise ValueError(f"hash family must be one of {FAMILIES}")
+FAMILIES = {"blake2b": _blake2b_all, "md5": _md5_all}
 
 
 def simhash64(text: Column, family: str = "blake2b") -> Column:
@@ -65,13 +68,15 @@ def simhash64(text: Column, family: str = "blake2b") -> Column:
     ``blake2b`` has no Spark built-in, so votes are counted per Arrow batch in
     numpy. This stays in the scan stage: no shuffle, one text in, one long out.
     """
-    digest = _digest_for(family)
+    if family not in FAMILIES:
+        raise ValueError(f"hash family must be one of {tuple(FAMILIES)}")
+    digests = FAMILIES[family]
 
     @F.pandas_udf(T.LongType())
     def fingerprints(texts: pd.Series) -> pd.Series:
         token = re.compile(TOKEN_PATTERN)
         return pd.Series(
-            [None if t is None else _fingerprint(t, token, digest) for t in texts], dtype="Int64"
+            [None if t is None else _fingerprint(t, token, digests) for t in texts], dtype="Int64"
         )
 
     return fingerprints(text)
