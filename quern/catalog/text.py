@@ -7,8 +7,9 @@ from pyspark.sql import functions as F
 from quern.catalog import query, sql, table
 from quern.functions import hashing, text
 from quern.operators import filters, quality
+from quern.operators.skew import join_groups
 from quern.operators.votes import simhash64_md5, simhash_votes
-from quern.session import spread
+from quern.session import spread, stage
 
 
 def _docs(spark, sf):
@@ -104,10 +105,12 @@ def add_features(spark, sf):
 def quality_features(spark, sf):
     """The hash column is shown as the first document that has the same hash."""
     featured = quality.quality_features(_docs(spark, sf))
-    first = featured.groupBy("content_hash").agg(F.min("doc_id").alias("first_with_hash"))
+    first = featured.groupBy("content_hash").agg(
+        F.min("doc_id").alias("first_with_hash"), F.count(F.lit(1)).alias("copies")
+    )
     return (
-        featured.join(first, "content_hash")
-        .drop("content_hash")
+        join_groups(featured, stage(first, "hashes"), "content_hash", "copies")
+        .drop("content_hash", "copies")
         .withColumn("char_count", F.col("char_count").cast("bigint"))
     )
 

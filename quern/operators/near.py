@@ -12,13 +12,16 @@ from quern.session import scratch_path, stage, stage_counted
 
 MAX_DISTANCE = 3
 # Buckets above this many fingerprints are split further where that pays.
-BUCKET_ROWS = 512
+BUCKET_ROWS = 8192
+# Buckets that are compared although crowded are cut into cells of this size.
+CELL_ROWS = 2048
 # Crowded buckets are looked up by broadcast up to this many; beyond that every
 # bucket is split, which is just as exact.
 MAX_CROWDED = 300_000
-# Levels of splitting. At distance 3 the sixth leaves 11 free bits, so that no
-# bucket can hold more than 2,048 fingerprints.
+# Levels of splitting, and of masks. At distance 3 the sixth level has 4,096
+# masks that leave 11 free bits: no bucket can hold more than 2,048 fingerprints.
 MAX_LEVELS = 6
+MAX_MASKS = 5000
 
 _SEQ = "seq long"
 
@@ -45,13 +48,13 @@ def _compare(keyed: DataFrame, max_distance: int, cells: bool = False) -> DataFr
     """Pairs within a bucket (mask, pin).
 
     With ``cells`` a bucket of ``n`` rows is compared in square cells of about
-    BUCKET_ROWS by BUCKET_ROWS, so that no task gets a whole crowded bucket.
+    CELL_ROWS by CELL_ROWS, so that no task gets a whole crowded bucket.
     """
     on = ["mask", "pin"]
     left = keyed.select(*on, F.col("seq").alias("a"), F.col("fp").alias("fa"), *(["n"] if cells else []))
     right = keyed.select(*on, F.col("seq").alias("b"), F.col("fp").alias("fb"), *(["n"] if cells else []))
     if cells:
-        width = F.ceil(F.col("n") / BUCKET_ROWS)
+        width = F.ceil(F.col("n") / CELL_ROWS)
         every = F.explode(F.sequence(F.lit(0), width - 1))
         left = left.withColumn("_i", F.pmod(F.xxhash64("a"), width)).withColumn("_j", every)
         right = right.withColumn("_j", F.pmod(F.xxhash64("b"), width)).withColumn("_i", every)
@@ -73,8 +76,8 @@ def near_dup_pairs(
     Buckets that are too crowded to compare pin one more group of their free
     bits, with copies only of their own rows. So the key width follows the data:
     16 bits for millions of fingerprints, 28 or 37 where there are billions or
-    where one band value is common. A crowded bucket that splitting would not
-    make cheaper is a dense cluster; it is compared in cells over many tasks.
+    where one band value is common. A crowded bucket that splitting does not thin
+    out is a dense cluster; it is compared in cells over many tasks.
 
     The result cannot explode: of distinct fingerprints at most 128 can all lie
     within distance 3 of each other (Kleitman's diameter bound), and none has
@@ -94,7 +97,11 @@ def near_dup_pairs(
             found.append(_compare(keyed, max_distance))
             break
         splits = {mask: _narrower(mask, parts) for mask in masks}
-        last = level == MAX_LEVELS - 1 or not all(splits.values())
+        last = (
+            level == MAX_LEVELS - 1
+            or len(masks) * parts > MAX_MASKS
+            or not all(splits.values())
+        )
         if n_crowded > MAX_CROWDED and not last:
             pending, masks = _split(keyed, splits), _inner(splits)
             continue
@@ -131,14 +138,21 @@ def _inner(splits: dict[int, list[int]]) -> list[int]:
 
 
 def _worth_splitting(dense: DataFrame, splits: dict[int, list[int]]) -> DataFrame:
-    """(mask, pin) of the crowded buckets that at most half the comparisons would be left of."""
+    """(mask, pin) of the crowded buckets that splitting thins out.
+
+    Some of the parts may hold almost all rows (where the newly pinned bits are
+    common too), as long as the comparisons of all parts together are at most
+    half of what they would be if no part got smaller.
+    """
     parts = _split(dense, splits, "mask", "pin", "n")
     inner = parts.groupBy("mask", "pin", "_mask", F.col("fp").bitwiseAND(F.col("_mask")).alias("_pin"))
     sizes = inner.agg(F.count(F.lit(1)).cast("double").alias("m"), F.any_value("n").alias("n"))
     costs = sizes.groupBy("mask", "pin").agg(
         F.sum(F.col("m") * F.col("m")).alias("cost"), F.any_value("n").cast("double").alias("n")
     )
-    return costs.where(2 * F.col("cost") < F.col("n") * F.col("n")).select("mask", "pin")
+    copies = len(next(iter(splits.values())))
+    thinner = F.col("cost") <= F.col("n") * F.col("n") * copies / 2
+    return costs.where(thinner).select("mask", "pin")
 
 
 def _mask_array(masks: list[int]):

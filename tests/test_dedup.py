@@ -189,7 +189,8 @@ def test_dense_bucket_is_compared_in_cells(spark, monkeypatch):
     prints = [(seq, fp) for fp, seq in rows.items()]
     df = spark.createDataFrame(prints, "seq long, fp long")
     want = sorted(map(tuple, near.near_dup_pairs(df, 3, 10_000).collect()))
-    monkeypatch.setattr(near, "BUCKET_ROWS", 8)
+    monkeypatch.setattr(near, "CELL_ROWS", 8)
+    monkeypatch.setattr(near, "MAX_LEVELS", 1)
     assert sorted(map(tuple, near.near_dup_pairs(df, 3, 60).collect())) == want and want
 
 
