@@ -4,6 +4,7 @@ import os
 import pytest
 from pyspark.sql import functions as F
 
+from quern import session
 from quern.operators import feedback
 from quern.plans import prepare as preparing
 from quern.plans import reports
@@ -20,18 +21,18 @@ def read_lines(path):
     return found
 
 
-LONG = "这是一段足够长的训练文本，包含联系邮箱 test@example.org。" * 4
+LONG = "河边的老磨坊每天清晨开工，来信请寄 miller@example.org 谢谢。" * 4
 
 
 def test_prepare_file_to_file(spark, write, tmp_path):
-    rows = [{"id": 0, "text": "短"}, {"id": 1, "x": {"y": None}, "text": LONG, "z": [1]}, {"id": 2, "text": LONG}]
+    rows = [{"id": 0, "text": "面粉"}, {"id": 1, "x": {"y": None}, "text": LONG, "z": [1]}, {"id": 2, "text": LONG}]
     source = write(*[json.dumps(r, ensure_ascii=False) for r in rows])
     stats = preparing.prepare_json_lines(spark, source, f"{tmp_path}/out", f"{tmp_path}/stats", min_chars=20)
     assert list(stats.first()) == [3, 0, 1, 1, 0, 1]
     (line,) = read_lines(f"{tmp_path}/out")
     kept = json.loads(line)
     assert list(kept) == ["id", "x", "text", "z"] and kept["x"] == {"y": None} and kept["z"] == [1]
-    assert "<EMAIL>" in kept["text"] and "训练" in line
+    assert "<EMAIL>" in kept["text"] and "磨坊" in line
     report = "\n".join(read_lines(f"{tmp_path}/stats"))
     assert json.loads(report)["kept"] == 1 and len(report.splitlines()) == 8
 
@@ -134,7 +135,7 @@ def test_quality_and_filter_jobs(spark, write, tmp_path):
 
 def test_eval_job(spark, write, tmp_path):
     source = write(
-        '{"id":"1","expected":"北京","baseline":"上海","candidate":"北京","human_preference":"candidate"}',
+        '{"id":"1","expected":"磨坊","baseline":"河边","candidate":"磨坊","human_preference":"candidate"}',
         '{"id":7,"expected":"a b c","baseline":"a b","candidate":"z","human_preference":"unsure"}',
         '{"expected":"none","baseline":"none","candidate":"x"}',
         '{"id":"4","expected":"None","candidate":null,"human_preference":"tie"}',
@@ -196,3 +197,11 @@ def test_valid_answer(spark):
         [("A", 5), ("平局", 1), ("C", 3), ("B", 6), (None, 3)], "preference string, score int"
     )
     assert [r[0] for r in answers.select(feedback.valid_answer()).collect()] == [True, True, False, False, False]
+
+
+def test_scratch_is_dropped(spark):
+    staged = session.stage(spark.range(3), "kept")
+    folder = session.scratch_path(spark, "x").rsplit("/", 2)[0]
+    assert staged.count() == 3 and session.exists(spark, folder)
+    session.drop_scratch(spark)
+    assert not session.exists(spark, folder)
