@@ -54,12 +54,13 @@ def encoder(vocabulary: str = VOCABULARY):
         with open(public_tokenizers.path(f"{vocabulary}.tiktoken"), "rb") as lines:
             ranks = {base64.b64decode(piece): int(rank) for piece, rank in map(bytes.split, lines)}
         fast = tiktoken.Encoding(vocabulary, pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={})
-        whole = Tokenizer.from_file(public_tokenizers.path(f"{vocabulary}.json"))
+        # The multilingual vocabulary has no special tokens and no such file.
+        whole = Tokenizer.from_file(public_tokenizers.path(f"{vocabulary}.json")) if vocabulary == VOCABULARY else None
         _loaded[vocabulary] = fast, whole
     fast, whole = _loaded[vocabulary]
 
     def encode(text: str) -> list[int]:
-        if _SPECIAL in text:
+        if whole and _SPECIAL in text:
             return whole.encode(text, add_special_tokens=False).ids
         return fast.encode_ordinary(text)
 
