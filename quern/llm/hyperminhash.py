@@ -11,12 +11,13 @@ band with a probability of about one in ten million.
    full shingle sets; connected components follow. A second star starts from a
    member outside the first one's component.
 3. Buckets that still hold several components are compared member by member across
-   components, in square cells of bounded size, inside tasks: pairs pass by set
-   size and by the collision-corrected estimate (five standard errors below the
-   threshold), and only those are emitted and checked on the full sets.
+   components, in square cells of bounded size, inside tasks, a pair only in the
+   first band it shares. It passes by set size, by the collision-corrected estimate
+   (five standard errors below the threshold) and by an exact upper bound on the
+   common shingles from hashed bit sets; what passes is checked on the full sets.
 
-So links equal those of all candidate pairs, while a group of n near copies costs
-n checks, not n squared. Sets are sets of 64-bit hashes.
+So links equal those of all candidate pairs; a group of n near copies costs about n
+checks on full sets. Sets are sets of 64-bit hashes.
 
 Defined results: null text counts as empty; a text with fewer words than a shingle
 is one shingle of all its words; texts without words link with nothing; rows with
@@ -42,7 +43,7 @@ BAND_REGISTERS = 5
 REGISTERS = BANDS * BAND_REGISTERS
 MANTISSA = 10
 STARS = 2
-CELL = 2_048
+CELL = 1_024
 _EMPTY = np.uint16(0xFFFF)
 # Expected share of equal registers in disjoint sets of equal size, times 2**MANTISSA.
 _COLLISION = 0.33984
@@ -128,11 +129,33 @@ def _sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             offsets = np.concatenate([[0], np.cumsum([len(s) for s in sets])]).astype(np.int32)
             flat = signed(np.concatenate(sets)) if sets else np.zeros(0, np.int64)
             yield pa.RecordBatch.from_arrays(
-                [pa.array(keys[first:after]), pa.ListArray.from_arrays(pa.array(offsets), pa.array(flat))],
-                names=["node", "shingles"],
+                [
+                    pa.array(keys[first:after]),
+                    pa.ListArray.from_arrays(pa.array(offsets), pa.array(flat)),
+                    pa.array([bit_set(own).tobytes() for own in sets], pa.binary()),
+                ],
+                names=["node", "shingles", "bits"],
             )
 
 
+def bit_set(hashes: np.ndarray) -> np.ndarray:
+    """Bytes of a bit set with 8 to 16 bits per hash; halving it means joining its halves."""
+    places = max(256, 8 << max(len(hashes) - 1, 0).bit_length())
+    bits = np.zeros(places, dtype=np.uint8)
+    bits[(hashes >> np.uint64(3)) % np.uint64(places)] = 1
+    return np.packbits(bits)
+
+
+def common_bound(bits: np.ndarray, sizes: np.ndarray, other: np.ndarray, other_size: int) -> np.ndarray:
+    """Upper bounds on the number of common hashes of many sets with one.
+
+    A bit set on one side only stands for at least one hash the other side lacks.
+    """
+    alone = np.bitwise_count(bits & ~other).sum(axis=1, dtype=np.int64)
+    other_alone = np.bitwise_count(other & ~bits).sum(axis=1, dtype=np.int64)
+    return np.minimum(sizes - alone, other_size - other_alone)
+
+
 def estimate(registers: np.ndarray, sizes: np.ndarray, other: np.ndarray, other_size: int) -> tuple[np.ndarray, np.ndarray]:
     """Collision-corrected Jaccard estimates of many sketches against one, and their standard errors at the threshold."""
     either = (registers != _EMPTY) | (other != _EMPTY)
@@ -149,19 +172,39 @@ def _cross(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
     def solve(held: list[tuple]) -> pa.RecordBatch:
         held.sort(key=lambda r: r[4])
-        nodes, parts, sizes = (np.array([r[i] for r in held], dtype=np.int64) for i in (2, 3, 4))
+        nodes, parts, sizes, half, band = (np.array([r[i] for r in held], dtype=np.int64) for i in (2, 3, 4, 7, 9))
         sketches = np.frombuffer(b"".join(r[5] for r in held), dtype=np.uint16).reshape(len(held), REGISTERS)
-        half = np.array([r[6] for r in held])
+        bands = sketches.reshape(len(held), BANDS, BAND_REGISTERS)
+        widths = np.array([len(r[6]) for r in held])
+        # Bit sets by width; each also at half its width, for partners of the lower width.
+        levels: dict[int, tuple[int, np.ndarray]] = {}
+        for width in np.unique(widths).tolist():
+            low, high = np.searchsorted(widths, width, side="left"), np.searchsorted(widths, 2 * width, side="right")
+            rows = []
+            for r in held[low:high]:
+                own = np.frombuffer(r[6], dtype=np.uint64)
+                rows.append(own if len(r[6]) == width else own[: width // 8] | own[width // 8 :])
+            levels[width] = low, np.array(rows)
         left, right = [], []
         for i in range(len(held)):
             upto = int(np.searchsorted(sizes, sizes[i] * 100 / THRESHOLD, side="right"))
-            near, error = estimate(sketches[i + 1 : upto], sizes[i + 1 : upto], sketches[i], sizes[i])
-            ok = (near >= THRESHOLD / 100 - 5 * error) & (parts[i + 1 : upto] != parts[i])
-            if held[i][7]:  # a cell of two different halves: compare across only
-                ok &= half[i + 1 : upto] != half[i]
-            found = nodes[i + 1 : upto][ok]
-            left += [nodes[i]] * len(found)
-            right += found.tolist()
+            other = parts[i + 1 : upto] != parts[i]
+            if held[i][8]:  # a cell of two different halves: compare across only
+                other &= half[i + 1 : upto] != half[i]
+            at = np.flatnonzero(other) + i + 1
+            if not len(at):
+                continue
+            near, error = estimate(sketches[at], sizes[at], sketches[i], sizes[i])
+            at = at[near >= THRESHOLD / 100 - 5 * error]
+            if not len(at):
+                continue
+            low, bits = levels[int(widths[i])]
+            most = common_bound(bits[at - low], sizes[at], bits[i - low], sizes[i])
+            at = at[most * 100 >= (sizes[at] + sizes[i] - most) * THRESHOLD]
+            same = (bands[at] == bands[i]).all(axis=2) & (bands[i] != _EMPTY).any(axis=1)
+            at = at[same.argmax(axis=1) == band[i]]
+            left += [nodes[i]] * len(at)
+            right += nodes[at].tolist()
         a, b = np.array(left, dtype=np.int64), np.array(right, dtype=np.int64)
         return pa.RecordBatch.from_arrays([pa.array(np.minimum(a, b)), pa.array(np.maximum(a, b))], names=["a", "b"])
 
@@ -202,16 +245,16 @@ def near_components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     )
     unused = F.lit(b"\xff" * (2 * BAND_REGISTERS))
     banded = nodes.select("node", F.posexplode(band).alias("_i", "_part")).where(F.col("_part") != unused)
-    banded = banded.select("node", F.xxhash64("_i", "_part").alias("band"))
+    banded = banded.select("node", F.col("_i").alias("place"), F.xxhash64("_i", "_part").alias("band"))
     shared = banded.groupBy("band").agg(F.count(F.lit(1)).alias("size"), F.min("node").alias("head")).where("size > 1")
     members = staging.write(banded.join(shared, "band"))
     wanted = members.select(F.col("node").alias("key")).distinct()
-    sets = staging.write(texts.join(wanted, "key", "left_semi").select("key", "text").mapInArrow(_sets, "node long, shingles array<long>"))
+    sets = staging.write(texts.join(wanted, "key", "left_semi").select("key", "text").mapInArrow(_sets, "node long, shingles array<long>, bits binary"))
     pairs = members.where("node != head").select(F.col("head").alias("a"), F.col("node").alias("b")).distinct()
     links = staging.write(_verified(pairs, sets))
     for step in range(STARS):
         parts = components(links, staging)
-        placed = members.join(parts, "node", "left").select("band", "node", F.coalesce("component", "node").alias("part"))
+        placed = members.join(parts, "node", "left").select("band", "place", "node", F.coalesce("component", "node").alias("part"))
         # Buckets that hold several components.
         split = placed.groupBy("band").agg(F.min("part").alias("_p"), F.max("part").alias("_q"), F.count(F.lit(1)).alias("size"))
         split = split.where("_p != _q")
@@ -228,10 +271,10 @@ def near_components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
             dealt = open_members.withColumn("_cells", cells).withColumn("_own", own)
             dealt = dealt.withColumn("_other", F.explode(F.sequence(F.lit(0), F.col("_cells") - 1)))
             cell = (F.least("_own", "_other") * F.col("_cells") + F.greatest("_own", "_other")).cast("long")
-            dealt = dealt.join(nodes.select("node", "n", "registers"), "node").select(
-                "band", cell.alias("cell"), "node", "part", "n", "registers", F.col("_own").alias("half"), (F.col("_own") != F.col("_other")).alias("_mixed")
+            known = sets.select("node", F.size("shingles").alias("n"), "bits").join(nodes.select("node", "registers"), "node")
+            dealt = dealt.join(known, "node").select(
+                "band", cell.alias("cell"), "node", "part", "n", "registers", "bits", F.col("_own").alias("half"), (F.col("_own") != F.col("_other")).alias("mixed"), "place"
             )
-            # In a mixed cell every row must know that it is one; rows of a plain cell have equal halves.
             more = (
                 dealt.repartition("band", "cell").sortWithinPartitions("band", "cell").mapInArrow(_cross, "a long, b long")
             )
