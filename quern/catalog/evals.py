@@ -9,18 +9,21 @@ from quern.operators import evals, feedback, filters
 
 STAMP = "2026-01-01T00:00:00+00:00"
 PLACES = 9
+# A case's number is its conversation's times this, plus its block.
+BLOCKS = 1_000_003
 
 
 def conversation_cases(spark, sf):
-    """One case per conversation from its first four turns."""
-    turns = table(spark, sf, "conversations").where(F.col("turn") < 4)
+    """One case per block of four turns of a conversation; the last is padded with nulls."""
+    turns = table(spark, sf, "conversations")
+    block = F.floor(F.col("turn") / 4).cast("bigint")
 
-    def said(turn):
-        return F.max(F.when(F.col("turn") == turn, F.col("text")))
+    def said(place):
+        return F.max(F.when(F.col("turn") % 4 == place, F.col("text")))
 
     label = F.array(*[F.lit(x) for x in ("candidate", "baseline", "tie", "unsure", None)])
     return (
-        turns.groupBy(F.col("conv_id").alias("seq"))
+        turns.groupBy((F.col("conv_id") * BLOCKS + block).alias("seq"))
         .agg(
             said(0).alias("prompt"),
             said(1).alias("expected"),
@@ -32,14 +35,14 @@ def conversation_cases(spark, sf):
     )
 
 
-CASES = """cases AS (
-      SELECT conv_id AS seq,
-        max(text) FILTER (turn = 0) AS prompt, max(text) FILTER (turn = 1) AS expected,
-        max(text) FILTER (turn = 2) AS candidate, max(text) FILTER (turn = 3) AS baseline,
-        CASE conv_id % 5 WHEN 0 THEN 'candidate' WHEN 1 THEN 'baseline' WHEN 2 THEN 'tie'
+CASES = f"""cases AS (
+      SELECT conv_id * {BLOCKS} + turn // 4 AS seq,
+        max(text) FILTER (turn % 4 = 0) AS prompt, max(text) FILTER (turn % 4 = 1) AS expected,
+        max(text) FILTER (turn % 4 = 2) AS candidate, max(text) FILTER (turn % 4 = 3) AS baseline,
+        CASE seq % 5 WHEN 0 THEN 'candidate' WHEN 1 THEN 'baseline' WHEN 2 THEN 'tie'
           WHEN 3 THEN 'unsure' END AS human_preference,
-        CASE WHEN conv_id % 11 <> 0 THEN 'c' || conv_id END AS id
-      FROM conversations WHERE turn < 4 GROUP BY conv_id)"""
+        CASE WHEN seq % 11 <> 0 THEN 'c' || seq END AS id
+      FROM conversations GROUP BY seq)"""
 
 
 def _bags(side):

@@ -275,12 +275,13 @@ def token_counts(spark, sf):
 
 @query(
     "cell_defaults",
-    """SELECT source, coalesce(round(avg(CASE WHEN doc_id % 2 = 0 AND lang = 'en' THEN length(text) END), 2), 0.0)
-       AS average_chars FROM documents GROUP BY source""",
+    """SELECT source, coalesce(round(avg(quality), 2), 0.0) AS average_quality
+       FROM documents LEFT JOIN labels USING (doc_id) GROUP BY source""",
 )
 def cell_defaults(spark, sf):
-    """Mean length of half the English texts per source; 0 where there is none."""
-    some = F.when((F.col("doc_id") % 2 == 0) & (F.col("lang") == "en"), F.length("text"))
-    return _docs(spark, sf).groupBy("source").agg(
-        quality.cell_default(F.round(F.avg(some), 2), 0.0).alias("average_chars")
+    """Mean label quality per source; 0 where no document of it has a label."""
+    labels = table(spark, sf, "labels").select("doc_id", "quality")
+    joined = table(spark, sf, "documents").select("doc_id", "source").join(labels, "doc_id", "left")
+    return joined.groupBy("source").agg(
+        quality.cell_default(F.round(F.avg("quality"), 2), 0.0).alias("average_quality")
     )

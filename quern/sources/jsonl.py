@@ -11,14 +11,17 @@ from quern.session import stage
 
 # A split table larger than this is joined by shuffle instead of broadcast.
 MAX_BROADCAST_SPLITS = 200_000
+# Spark's readers take single-quoted names and strings unless told not to.
+STRICT_QUOTES = {"allowSingleQuotes": "false"}
 
 
 def numbered_lines(spark: SparkSession, path: str) -> DataFrame:
     """(file, line, seq, value): lines with their place in the file and overall.
 
     Spark reads files in splits; a line's place is its split's offset plus its
-    place in the split. The offsets come from one counting pass, which yields
-    one row per split.
+    place in the split. The files are read once: lines are written with their
+    split and place, and both the offsets (one row per split) and every later
+    read come from that table, however the source would be split then.
     """
     lines = spark.read.text(path).select(
         F.col("_metadata.file_path").alias("file"),
@@ -26,6 +29,7 @@ def numbered_lines(spark: SparkSession, path: str) -> DataFrame:
         F.monotonically_increasing_id().alias("_at"),
         "value",
     )
+    lines = stage(lines, "lines")
     splits = stage(
         lines.groupBy("file", "block").agg(
             F.count(F.lit(1)).alias("_n"), F.min("_at").alias("_first")
@@ -61,7 +65,7 @@ def json_object(value: Column) -> Column:
     Read inside brackets, so that anything after the object is noticed.
     """
     wrapped = F.concat(F.lit("["), value, F.lit("]"))
-    objects = F.from_json(wrapped, "array<map<string,variant>>")
+    objects = F.from_json(wrapped, "array<map<string,variant>>", STRICT_QUOTES)
     return F.when(F.size(objects) == 1, objects[0])
 
 
@@ -111,21 +115,21 @@ def strict_records(
     names a column for the place of the line in the input.
     """
     if blank == "skip" and order is None:
-        return spark.read.schema(schema).option("mode", "FAILFAST").json(path)
+        return spark.read.schema(schema).options(mode="FAILFAST", **STRICT_QUOTES).json(path)
     lines = numbered_lines(spark, path) if order else spark.read.text(path)
     value = F.col("value")
     empty = strip_text(value) == ""
     if blank == "skip":
         lines = lines.where(~empty)
     checked = F.when(empty, F.raise_error(F.lit("blank line"))).otherwise(value)
-    parsed = F.from_json(checked, schema, {"mode": "FAILFAST"}).alias("r")
+    parsed = F.from_json(checked, schema, {"mode": "FAILFAST", **STRICT_QUOTES}).alias("r")
     kept = [F.col("seq").alias(order)] if order else []
     return lines.select(*kept, parsed).select(*([order] if order else []), "r.*")
 
 
 def dataset_records(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
     """Lazy scan of a file or folder of JSON Lines with a known schema."""
-    return spark.read.schema(schema).json(path)
+    return spark.read.schema(schema).options(**STRICT_QUOTES).json(path)
 
 
 def missing_fields(fields: Column, required: list[str]) -> Column:
@@ -159,7 +163,7 @@ def required_records(spark: SparkSession, path: str, schema: T.StructType) -> Da
         F.lit("line "), F.col("line").cast("string"), F.lit(" lacks fields: "), F.array_join("missing", ", ")
     )
     checked = F.when(F.size("missing") > 0, F.raise_error(message)).otherwise(F.col("value"))
-    return rows.select("seq", F.from_json(checked, schema, {"mode": "FAILFAST"}).alias("r")).select(
+    return rows.select("seq", F.from_json(checked, schema, {"mode": "FAILFAST", **STRICT_QUOTES}).alias("r")).select(
         "seq", "r.*"
     )
 
