@@ -34,7 +34,7 @@ from pyspark.sql import functions as F
 MODEL = "piece_bpe_32k.model"
 MARK = "▁"
 # Words whose ids a worker remembers.
-REMEMBERED = 300_000
+REMEMBERED = 800_000
 _WORDS = re.compile(f"{MARK}+[^{MARK}\n]*|\n|[^{MARK}\n]+")
 
 _loaded: dict[str, PieceModel] = {}
@@ -53,7 +53,15 @@ class PieceModel:
         self.score = {self.text[i]: library.get_score(i) for i in plain}
         self.byte_ids = [library.piece_to_id(f"<0x{b:02X}>") for b in range(256)]
         self.byte_of = {i: b for b, i in enumerate(self.byte_ids)}
-        self.longest = max(map(len, self.ids))
+        # What an id decodes to by itself: ASCII bytes do, other bytes need their neighbours.
+        self.alone = [chr(self.byte_of[i]) if self.byte_of.get(i, 256) < 128 else t for i, t in enumerate(self.text)]
+        self.high = frozenset(self.byte_ids[128:])
+        # Lengths of the pieces that end in two given characters, longest first.
+        ends: dict[str, set[int]] = {}
+        for piece in self.ids:
+            if len(piece) > 1:
+                ends.setdefault(piece[-2:], set()).add(len(piece))
+        self.lengths = {end: (*sorted(sizes, reverse=True), 1) for end, sizes in ends.items()}
         if any("\n" in p for p in self.ids) or any(re.search(f"[^{MARK}]{MARK}", p) for p in self.ids):
             raise ValueError("pieces span word borders")
         self.known: dict[str, tuple[int, ...]] = {}
@@ -84,6 +92,7 @@ class PieceModel:
 
     def walk(self, words: list[str]) -> Iterator[tuple[str, list[str]]]:
         """(word, pieces) for sorted distinct words; states of common prefixes are reused."""
+        lengths, ids, pairs, single = self.lengths, self.ids, self.pairs, (1,)
         last: list[str] = [""]  # last piece of every prefix of the word before
         before = ""
         for word in words:
@@ -94,9 +103,17 @@ class PieceModel:
                 shared += 1
             del last[shared + 1 :]
             for end in range(shared + 1, len(word) + 1):
-                for start in range(max(0, end - self.longest), end):
-                    piece = word[start:end]
-                    if (piece in self.ids or end - start == 1) and self.stable(last[start], piece):
+                for size in lengths.get(word[max(end - 2, 0) : end], single):
+                    if size > end:
+                        continue
+                    piece = word[end - size : end]
+                    if size > 1 and piece not in ids:
+                        continue
+                    left = last[end - size]
+                    stable = pairs.get((left, piece))
+                    if stable is None:
+                        stable = self.stable(left, piece)
+                    if stable:
                         last.append(piece)
                         break
                 else:
@@ -128,6 +145,9 @@ class PieceModel:
         return [[i for w in words for i in self.known[w]] for words in split]
 
     def decode(self, ids: list[int]) -> str:
+        if self.high.isdisjoint(ids):
+            text = "".join(map(self.alone.__getitem__, ids)).replace(MARK, " ")
+            return text[1:] if text.startswith(" ") else text
         out: list[str] = []
         held = bytearray()
         for i in ids:

@@ -95,13 +95,20 @@ def test_shared_prefixes_are_walked_once():
     words = sorted({"▁inter", "▁internal", "▁international", "▁interval"})
     walked = dict(model.walk(words))
     assert all("".join(p) == w for w, p in walked.items())
-    calls = []
-    model.stable = lambda a, b, f=model.stable: calls.append(1) or f(a, b)
+
+    class Counted(dict):
+        asked = 0
+
+        def get(self, key, default=None):
+            Counted.asked += 1
+            return super().get(key, default)
+
+    model.pairs = Counted(model.pairs)
     list(model.walk(words))
-    together = len(calls)
+    together, Counted.asked = Counted.asked, 0
     for w in words:
         list(model.walk([w]))
-    assert together < len(calls) - together
+    assert together < Counted.asked
 
 
 def test_chain_probabilities_against_all_paths():
