@@ -42,7 +42,7 @@ GRAM = 64
 BLOCK = 32
 CROWD = 16_384
 # A transform takes whole cores until it has this many symbols.
-BLOCK_SYMBOLS = 1 << 19
+BLOCK_SYMBOLS = 1 << 18
 # Texts longer than this are searched in chunks that overlap by LENGTH - 1 bytes.
 CHUNK = 1 << 23
 _PLACE = np.uint64((1 << 24) - 1)
