@@ -9,7 +9,9 @@ bucket, texts with the same hash form chains: the row with the largest id is
 compared byte by byte with the others, and those that differ form the next chain.
 
 Copies never meet in one task: counts are combined on the map side, and the
-comparison deals a group of n rows over n / SALT_ROWS tasks.
+comparison deals a group of n rows over n / SALT_ROWS tasks. Joins that fetch texts
+always shuffle: the list of copies grows with the input, so it is never broadcast,
+however short it is on a small table.
 
 Defined results: null text counts as empty, so null and empty texts are copies;
 rows with a null id order before all ids; repeated rows are copies of each other.
@@ -99,16 +101,19 @@ def exact_groups(
             "key", "id", "hash", F.pmod(F.xxhash64("key"), salts.cast("long")).alias("salt"), salts.alias("salts"), "head"
         )
     )
-    texts = staging.write(source.select("key", text.alias("text")).join(open_rows.select("key", "hash", "salt"), "key"))
+    texts = staging.write(
+        source.select("key", text.alias("text")).join(open_rows.select("key", "hash", "salt").hint("merge"), "key")
+    )
     chained = None
     while True:
-        heads = open_rows.where("key = head").select("key", "salts").join(texts.select("key", "hash", "text"), "key")
+        heads = open_rows.where("key = head").select("key", "salts").hint("merge")
+        heads = heads.join(texts.select("key", "hash", "text"), "key")
         heads = heads.select(
             F.explode(F.sequence(F.lit(0).cast("long"), F.col("salts").cast("long") - 1)).alias("salt"), "hash", F.col("key").alias("head"), F.col("text").alias("head_text")
         )
         waiting = texts.join(open_rows.select("key"), "key", "left_semi") if chained is not None else texts
         compared = staging.write(
-            waiting.join(heads, ["hash", "salt"]).select("key", "head", (F.col("text") == F.col("head_text")).alias("same"))
+            waiting.join(heads.hint("merge"), ["hash", "salt"]).select("key", "head", (F.col("text") == F.col("head_text")).alias("same"))
         )
         equal = compared.where("same").select("key", F.col("head").alias("keep_key"))
         chained = equal if chained is None else chained.unionByName(equal)
