@@ -140,17 +140,17 @@ def prepare_outcomes_blake2b(spark, sf):
     WHERE o.status = 'kept'""",
 )
 def incremental_prepare(spark, sf):
-    """All documents as a stream of three files in ``doc_id`` order, prepared batch by batch."""
+    """All documents in three parts by ``doc_id``; the stream takes each up where it ended."""
     path = scratch_path(spark, "stream")
     docs = table(spark, sf, "documents").select("doc_id", "text")
     last = docs.agg(F.max("doc_id")).first()[0]
     for part in range(3):
         low, high = part * (last + 1) // 3, (part + 1) * (last + 1) // 3
         span = docs.where((F.col("doc_id") >= low) & (F.col("doc_id") < high))
-        span.coalesce(1).write.mode("append").parquet(f"{path}/in")
-    stream = spark.readStream.schema(docs.schema).option("maxFilesPerTrigger", 1).parquet(f"{path}/in")
-    started = prepare_stream(
-        stream, f"{path}/out", f"{path}/state", f"{path}/checkpoint", family="md5"
-    )
-    started.awaitTermination()
+        span.write.mode("append").parquet(f"{path}/in")
+        stream = spark.readStream.schema(docs.schema).parquet(f"{path}/in")
+        started = prepare_stream(
+            stream, f"{path}/out", f"{path}/state", f"{path}/checkpoint", family="md5"
+        )
+        started.awaitTermination()
     return spark.read.schema("doc_id long, text string").parquet(f"{path}/out").select("doc_id", "text")

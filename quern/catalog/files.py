@@ -261,7 +261,7 @@ def filter_map_run(spark, sf):
 )
 def filter_split_run(spark, sf):
     path = scratch_path(spark, "split")
-    return reports.filter_split_run(spark, _written(spark, sf), path, schema=_schema(spark, DOC))
+    return reports.filter_split_run(spark, _written(spark, sf), path)
 
 
 @query(

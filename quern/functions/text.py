@@ -12,6 +12,7 @@ WHITESPACE_CLASS = (
 )
 EMAIL_PATTERN = r"(?U)\b[\w.+-]+@[\w.-]+\.[A-Za-z]{2,}\b"
 EMAIL_PLACEHOLDER = "<EMAIL>"
+# The look-behind stands after the first digit: most places fail on that digit first.
 PHONE_PATTERN = r"(?U)1(?<!\d1)[3-9]\d{9}(?!\d)"
 PHONE_PLACEHOLDER = "<PHONE>"
 TOKEN_PATTERN = r"[A-Za-z0-9_]+|[\u4e00-\u9fff]"

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from quern.session import exists
@@ -76,14 +76,21 @@ def _last_id(spark: SparkSession, path: str) -> int:
 
 def append_feedback(
     entries: DataFrame, path: str, order: list[str], created_at: Column | None = None
-) -> None:
+) -> tuple[int, int]:
     """Store the valid entries; ids go on from the largest one, in ``order``.
 
-    Rejected rows are those with a reason in ``feedback_checks``. One writer at a
-    time: ids are taken from the table as it is.
+    Rows with a reason in ``feedback_checks`` are added to ``<path>_rejected``, all
+    columns as text, with that reason. Returns how many rows were stored and
+    rejected. One writer at a time: ids are taken from the table as it is.
     """
     spark = entries.sparkSession
-    valid = with_defaults(entries, created_at).where(rejection().isNull())
+    checked = with_defaults(entries, created_at).withColumn("reason", rejection())
+    columns = ["prompt", "response", "rating", "tags", "notes", "created_at", "reason"]
+    refused = checked.where("reason is not null").select(*[F.col(c).cast("string") for c in columns])
+    rejected = Observation()
+    refused.observe(rejected, F.count(F.lit(1)).alias("rows")).write.mode("append").parquet(f"{path}_rejected")
+    valid = checked.where("reason is null")
+    stored = Observation()
     numbered = number_rows(valid, order, "id", _last_id(spark, path) + 1)
     numbered.select(
         F.col("id").cast("long"),
@@ -93,7 +100,8 @@ def append_feedback(
         "tags",
         "notes",
         "created_at",
-    ).write.mode("append").parquet(path)
+    ).observe(stored, F.count(F.lit(1)).alias("rows")).write.mode("append").parquet(path)
+    return stored.get["rows"], rejected.get["rows"]
 
 
 def preference_tasks(records: DataFrame) -> DataFrame:

@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
+from functools import reduce
+from itertools import product
 from urllib.parse import urlparse
 
 from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
-from quern.functions.urls import same_hostname, same_netloc
+from quern.functions.urls import LINK_SCHEMES, same_hostname, same_netloc
 from quern.session import scratch_path, stage
 
 from .numbering import number_rows
@@ -81,9 +83,19 @@ def discover(
     return spark.read.schema(_SEEN).parquet(folder).select("url", "rank", "depth")
 
 
-def _site(pages: DataFrame, on_site: Column, rules: DataFrame | None) -> DataFrame:
+def _site(pages: DataFrame, on_site: Column, rules: DataFrame | None, order: tuple[str, ...]) -> DataFrame:
+    """(url, html) of the site: of a URL stored more than once, the first page by
+    ``order`` that is not empty, equal places by the smallest markup."""
     mine = pages.where(on_site & (F.coalesce("html", F.lit("")) != ""))
-    return robots_filter(mine, rules) if rules is not None else mine
+    mine = robots_filter(mine, rules) if rules is not None else mine
+    return mine.groupBy("url").agg(F.min(F.struct(*order, "html")).alias("_first")).select("url", "_first.html")
+
+
+def _may_be_on(host: str) -> Column:
+    """What a URL of ``host`` starts with, the scheme in any case; a scan can skip row groups by it."""
+    schemes = ["".join(c) for s in LINK_SCHEMES for c in product(*[(x, x.upper()) for x in s])]
+    starts = [F.startswith("url", F.lit(f"{scheme}://{host}")) for scheme in schemes]
+    return reduce(lambda a, b: a | b, starts)
 
 
 def bounded_crawl(
@@ -92,18 +104,22 @@ def bounded_crawl(
     max_pages: int | None = MAX_PAGES,
     rules: DataFrame | None = None,
     max_depth: int | None = None,
+    order: tuple[str, ...] = (),
 ) -> DataFrame:
     """(url, title, text, depth, rank) of the pages reached from ``start_url``.
 
-    ``pages`` (url, html) stands for the web. Pages of other hosts, pages that
+    ``pages`` (url, html) stands for the web; a URL that it holds more than once
+    is taken once, from its first page by the columns ``order``. Pages of other hosts, pages that
     ``rules`` forbid and empty ones are left out before anything is parsed; their
     URLs still count as found. Each page is parsed once.
     """
     if max_pages is not None and max_pages < 1:
         raise ValueError("max_pages must be at least 1")
-    host = F.lit(urlparse(start_url).netloc)
+    netloc = urlparse(start_url).netloc
+    host = F.lit(netloc)
+    on_site = _may_be_on(netloc) & same_netloc(F.col("url"), host)
     site = stage(
-        page_extract(_site(pages, same_netloc(F.col("url"), host), rules)).select(
+        page_extract(_site(pages, on_site, rules, order)).select(
             "url", "title", "text", "links"
         ),
         "site",
@@ -114,13 +130,17 @@ def bounded_crawl(
 
 
 def follow_links(
-    pages: DataFrame, start_url: str, rules: DataFrame | None = None, max_depth: int | None = None
+    pages: DataFrame,
+    start_url: str,
+    rules: DataFrame | None = None,
+    max_depth: int | None = None,
+    order: tuple[str, ...] = (),
 ) -> DataFrame:
     """As ``bounded_crawl``, with the body-text extraction, host names compared
     without port and case, and no bound on the number of pages."""
     name = F.lit(urlparse(start_url).hostname or "")
     site = stage(
-        page_extract_css(_site(pages, same_hostname(F.col("url"), name), rules)).select(
+        page_extract_css(_site(pages, same_hostname(F.col("url"), name), rules, order)).select(
             "url", "title", "text", "links"
         ),
         "site",

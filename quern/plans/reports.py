@@ -18,27 +18,29 @@ from quern.sources import jsonl, sinks
 
 
 def quality_run(
-    spark: SparkSession, source: str, table: str, report: str, schema: T.StructType = SOURCE_DOC
+    spark: SparkSession, source: str, table: str, report: str, schema: T.StructType | None = None
 ) -> DataFrame:
-    """JSON Lines to a featured Parquet table, then a report over that table."""
-    featured = quality.quality_features(jsonl.dataset_records(spark, source, schema))
+    """JSON Lines to a featured Parquet table, then a report over that table.
+
+    Without a schema all keys are kept. A malformed line fails the job.
+    """
+    featured = quality.quality_features(jsonl.dataset_records(spark, source, schema, SOURCE_DOC))
     featured.write.mode("overwrite").parquet(table)
     stored = spark.read.parquet(table)
     summary = quality.quality_report(stored)
-    sources = quality.sources_by_rows(stored)
-    sinks.write_json_report(
-        sinks.with_map(summary, sources, "source", "rows", "rows_by_source"),
-        report,
-        rows_by_source=sources,
-    )
+    sources = quality.rows_by_source(stored), [F.desc("rows"), F.col("source")]
+    sinks.write_json_report(summary, report, rows_by_source=sources)
     return summary
 
 
 def filter_map_run(
-    spark: SparkSession, source: str, table: str, schema: T.StructType = SOURCE_DOC
+    spark: SparkSession, source: str, table: str, schema: T.StructType | None = None
 ) -> int:
-    """Filter and add features, write Parquet, return the number of rows written."""
-    docs = jsonl.dataset_records(spark, source, schema)
+    """Filter and add features, write Parquet, return the number of rows written.
+
+    Without a schema all keys are kept. A malformed line fails the job.
+    """
+    docs = jsonl.dataset_records(spark, source, schema, SOURCE_DOC)
     return sinks.write_parquet_counted(
         quality.add_features(docs.where(valid_record(F.col("text")))), table
     )
@@ -49,13 +51,20 @@ def filter_split_run(
     source: str,
     target: str,
     min_chars: int = MIN_USEFUL_CHARS,
-    schema: T.StructType = PLAIN_DOC,
 ) -> DataFrame:
-    """Kept and removed rows to two folders; returns the token count of the kept ones."""
-    docs = jsonl.dataset_records(spark, source, schema)
-    sinks.write_split(docs, keep_useful_text(F.col("text"), min_chars), target)
-    kept = spark.read.schema(schema).json(f"{target}/split=kept")
-    return quality.token_total(kept)
+    """Kept and removed rows to two folders; returns the token count of the kept ones.
+
+    Records keep all their keys. Lines that are not one JSON object go to a third
+    folder, ``split=malformed``, as they are; blank lines are not records.
+    """
+    lines = spark.read.text(source).where(strip_text(F.col("value")) != "")
+    parsed = lines.select("value", jsonl.json_object(F.col("value")).alias("fields"))
+    useful = F.coalesce(keep_useful_text(jsonl.string_field(F.col("fields"), "text"), min_chars), F.lit(False))
+    split = F.when(F.col("fields").isNull(), "malformed").when(useful, "kept").otherwise("removed")
+    parsed.select("value", split.alias("split")).write.mode("overwrite").partitionBy("split").text(target)
+    # Read by its parent folder: there is no folder for a split without rows.
+    stored = spark.read.schema("text string, split string").json(target)
+    return quality.token_total(stored.where("split = 'kept'"))
 
 
 def clean_step(spark: SparkSession, raw: str, target: str) -> str:
@@ -134,10 +143,7 @@ def eval_regression(spark: SparkSession, path: str, report: str) -> Evaluation:
     """Score the cases of a file and write the report with its parts."""
     result = evaluate(eval_cases(spark, path))
     full = sinks.with_map(result.summary, result.preferences, "preference", "n", "human_preferences")
-    full = sinks.with_list(full, result.regressions, "seq", F.col("id"), "regressions")
-    sinks.write_json_report(
-        full, report, human_preferences=result.preferences, regressions=result.regressions
-    )
+    sinks.write_json_report(full, report, regressions=(result.regressions, "seq"))
     return result
 
 
@@ -146,10 +152,8 @@ def score_eval(spark: SparkSession, path: str, report: str, model: str, scorer=N
     cases = jsonl.strict_records(spark, path, SCORED_CASE, order="seq")
     scored = evals.scored_cases(cases, "seq", scorer).join(cases.select("seq", "id"), "seq")
     summary = evals.score_report(scored, model)
-    listed = sinks.with_list(
-        summary.drop("n_cases"), scored, "seq", F.struct("id", "score"), "cases"
-    )
-    sinks.write_json_report(listed, report, cases=scored.select("seq", "id", "score"))
+    cases = scored.select("seq", "id", "score")
+    sinks.write_json_report(summary.drop("n_cases"), report, cases=(cases, "seq"))
     return summary
 
 

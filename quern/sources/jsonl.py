@@ -69,6 +69,14 @@ def json_object(value: Column) -> Column:
     return F.when(F.size(objects) == 1, objects[0])
 
 
+def typed_object(value: Column, schema: T.StructType) -> Column:
+    """The line as a struct; a line that is not one whole JSON object fails the job."""
+    wrapped = F.concat(F.lit("["), value, F.lit("]"))
+    objects = F.from_json(wrapped, T.ArrayType(schema), {"mode": "FAILFAST", **STRICT_QUOTES})
+    whole = (F.size(objects) == 1) & objects[0].isNotNull()
+    return F.when(whole, objects[0]).otherwise(F.raise_error(F.lit("line is not a JSON object")))
+
+
 def string_field(fields: Column, name: str) -> Column:
     """A key's value if it is a JSON string; null for other types and when absent."""
     value = _last(fields, name)
@@ -114,22 +122,34 @@ def strict_records(
     ``blank='fail'`` also fails on blank lines, ``'skip'`` ignores them. ``order``
     names a column for the place of the line in the input.
     """
-    if blank == "skip" and order is None:
-        return spark.read.schema(schema).options(mode="FAILFAST", **STRICT_QUOTES).json(path)
     lines = numbered_lines(spark, path) if order else spark.read.text(path)
     value = F.col("value")
     empty = strip_text(value) == ""
     if blank == "skip":
         lines = lines.where(~empty)
     checked = F.when(empty, F.raise_error(F.lit("blank line"))).otherwise(value)
-    parsed = F.from_json(checked, schema, {"mode": "FAILFAST", **STRICT_QUOTES}).alias("r")
+    parsed = typed_object(checked, schema).alias("r")
     kept = [F.col("seq").alias(order)] if order else []
     return lines.select(*kept, parsed).select(*([order] if order else []), "r.*")
 
 
-def dataset_records(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
-    """Lazy scan of a file or folder of JSON Lines with a known schema."""
-    return spark.read.schema(schema).options(**STRICT_QUOTES).json(path)
+def dataset_records(
+    spark: SparkSession, path: str, schema: T.StructType | None = None, needed: T.StructType | None = None
+) -> DataFrame:
+    """Scan of a file or folder of JSON Lines; a line that is not one object fails the job.
+
+    Without a schema every key of any line becomes a column: the types come from
+    one more pass over all lines. Fields of ``needed`` are always there, cast to
+    their type, and null where no line has them.
+    """
+    if schema is not None:
+        return strict_records(spark, path, schema)
+    found = spark.read.options(mode="FAILFAST", **STRICT_QUOTES).json(path).schema
+    fields = {f.name: f.dataType for f in (needed or T.StructType())}
+    read = T.StructType(found.fields + [T.StructField(n, k) for n, k in fields.items() if n not in found.names])
+    rows = strict_records(spark, path, read)
+    columns = {c: F.col(f"`{c}`") for c in rows.columns}
+    return rows.select(*[(v.cast(fields[c]) if c in fields else v).alias(c) for c, v in columns.items()])
 
 
 def missing_fields(fields: Column, required: list[str]) -> Column:

@@ -9,13 +9,11 @@ from pyspark.sql import functions as F
 
 from quern.session import exists, hadoop_path
 
-# A report part with more entries than this is only written as rows.
-INLINE_ENTRIES = 10_000
 
-
-def in_order(df: DataFrame, order: str, keep: bool = True) -> DataFrame:
+def in_order(df: DataFrame, order: str | list[Column], keep: bool = True) -> DataFrame:
     """Range-sorted rows: the part files, read by name, are in input order."""
-    placed = df.repartitionByRange(order).sortWithinPartitions(order)
+    by = [order] if isinstance(order, str) else order
+    placed = df.repartitionByRange(*by).sortWithinPartitions(*by)
     return placed if keep else placed.drop(order)
 
 
@@ -52,7 +50,7 @@ def write_parquet_counted(df: DataFrame, path: str) -> int:
 
 
 def write_jsonl_counted(
-    df: DataFrame, path: str, order: str | None = None, keep_order: bool = True
+    df: DataFrame, path: str, order: str | list[Column] | None = None, keep_order: bool = True
 ) -> int:
     """Write JSON Lines and return the number of rows.
 
@@ -89,20 +87,8 @@ def is_complete(spark: SparkSession, path: str) -> bool:
 
 
 def with_map(report: DataFrame, rows: DataFrame, key: str, value: str, name: str) -> DataFrame:
-    """Add a (key -> value) map to a one-row report, if it has few enough entries."""
-    if rows.limit(INLINE_ENTRIES + 1).count() > INLINE_ENTRIES:
-        return report
-    entry = F.struct(F.coalesce(F.col(key), F.lit("null")), F.col(value))
-    folded = rows.agg(F.map_from_entries(F.collect_list(entry)).alias(name))
-    return _beside(report, folded)
-
-
-def with_list(report: DataFrame, rows: DataFrame, order: str, item: Column, name: str) -> DataFrame:
-    """Add an array of items in ``order`` to a one-row report, if it is short enough."""
-    if rows.limit(INLINE_ENTRIES + 1).count() > INLINE_ENTRIES:
-        return report
-    sorted_items = F.array_sort(F.collect_list(F.struct(F.col(order).alias("at"), item.alias("item"))))
-    folded = rows.agg(F.transform(sorted_items, lambda e: e["item"]).alias(name))
+    """Add a (key -> value) map to a one-row report; only for keys of a fixed, short list."""
+    folded = rows.agg(F.map_from_entries(F.collect_list(F.struct(F.col(key), F.col(value)))).alias(name))
     return _beside(report, folded)
 
 
@@ -113,13 +99,15 @@ def _beside(left: DataFrame, right: DataFrame) -> DataFrame:
     )
 
 
-def write_json_report(report: DataFrame, path: str, **parts: DataFrame) -> None:
-    """A one-row report as one indented JSON object; ``parts`` as rows below it.
+def write_json_report(report: DataFrame, path: str, **parts: tuple[DataFrame, str | list[Column]]) -> None:
+    """A one-row report as one indented JSON object, with lists and maps as rows beside it.
 
-    Row parts go to ``<path>_<name>`` and have no size limit.
+    Each part is (rows, order) and goes to ``<path>_<name>`` as JSON Lines,
+    whatever its size; the object has its number of rows as ``<name>_rows``.
     """
+    for name, (rows, order) in parts.items():
+        written = write_jsonl_counted(rows, f"{path}_{name}", order)
+        report = report.withColumn(f"{name}_rows", F.lit(written).cast("long"))
     options = {"pretty": "true", "ignoreNullFields": "false"}
     text = report.select(F.to_json(F.struct("*"), options).alias("value"))
     text.coalesce(1).write.mode("overwrite").text(path)
-    for name, rows in parts.items():
-        write_jsonl(rows, f"{path}_{name}")

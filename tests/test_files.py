@@ -8,7 +8,7 @@ from quern import session
 from quern.operators import feedback
 from quern.plans import prepare as preparing
 from quern.plans import reports
-from quern.schemas import PLAIN_DOC, PREFERENCE_TASK
+from quern.schemas import PLAIN_DOC, PREFERENCE_TASK, SOURCE_DOC
 from quern.sources import jsonl, sinks
 
 
@@ -127,12 +127,42 @@ def test_quality_and_filter_jobs(spark, write, tmp_path):
     reports.quality_run(spark, source, f"{tmp_path}/t", f"{tmp_path}/r")
     report = json.loads("\n".join(read_lines(f"{tmp_path}/r")))
     assert report["total_rows"] == 4 and report["duplicate_rows"] == 1
-    assert report["rows_by_source"] == {"web": 2, "book": 1, "null": 1}
+    assert report["rows_by_source_rows"] == 3
+    sources = [json.loads(x) for x in read_lines(f"{tmp_path}/r_rows_by_source")]
+    assert [(s["source"], s["rows"]) for s in sources] == [("web", 2), (None, 1), ("book", 1)]
     assert reports.filter_map_run(spark, source, f"{tmp_path}/m") == 3
     tokens = reports.filter_split_run(spark, source, f"{tmp_path}/s", min_chars=10).first()
     assert list(tokens) == [3, 4 + 4 + 5]
 
 
+def test_long_report_parts_have_the_same_shape(spark, tmp_path):
+    rows = spark.range(25_000).select(F.col("id").alias("seq"), F.col("id").cast("string").alias("id"))
+    for n in (3, 25_000):
+        sinks.write_json_report(spark.range(1).select(F.lit(n).alias("n")), f"{tmp_path}/{n}", regressions=(rows.limit(n), "seq"))
+        assert json.loads("\n".join(read_lines(f"{tmp_path}/{n}"))) == {"n": n, "regressions_rows": n}
+        assert len(read_lines(f"{tmp_path}/{n}_regressions")) == n
+
+
+def test_jobs_keep_other_keys_and_refuse_broken_lines(spark, write, tmp_path):
+    good = '{"id":1,"source":"web","text":"a text that is long enough","extra":{"k":[1,2]}}'
+    source = write(good, '{"id":"2","text":"another text long enough","lang":"en"}')
+    assert reports.filter_map_run(spark, source, f"{tmp_path}/m") == 2
+    rows = sorted(spark.read.parquet(f"{tmp_path}/m").collect(), key=lambda r: r.id)
+    assert [(r.id, r.lang, r.extra and r.extra.k) for r in rows] == [("1", None, [1, 2]), ("2", "en", None)]
+    for n, bad in enumerate(["not json", good + " b", "{'text':'single'}", good + "," + good]):
+        broken = write(good, bad, name=f"bad{n}.jsonl")
+        with pytest.raises(Exception):
+            reports.filter_map_run(spark, broken, f"{tmp_path}/x{n}")
+        with pytest.raises(Exception):
+            jsonl.strict_records(spark, broken, SOURCE_DOC).collect()
+        tokens = reports.filter_split_run(spark, broken, f"{tmp_path}/y{n}").first()
+        assert list(tokens) == [1, 6]
+        assert json.loads(read_lines(f"{tmp_path}/y{n}/split=kept")[0]) == json.loads(good)
+        assert read_lines(f"{tmp_path}/y{n}/split=malformed") == [bad]
+    assert list(reports.filter_split_run(spark, write('{"text":"no"}', name="r.jsonl"), f"{tmp_path}/z").first()) == [0, 0]
+    assert list(reports.filter_split_run(spark, write("", name="e.jsonl"), f"{tmp_path}/w").first()) == [0, 0]
+
+
 def test_eval_job(spark, write, tmp_path):
     source = write(
         '{"id":"1","expected":"磨坊","baseline":"河边","candidate":"磨坊","human_preference":"candidate"}',
@@ -147,7 +177,8 @@ def test_eval_job(spark, write, tmp_path):
     assert report["cases"] == 6
     assert report["candidate_exact_match"] == pytest.approx(3 / 6)
     assert report["human_preferences"] == {"candidate": 1, "tie": 2}
-    assert report["regressions"] == ["7", "unknown"]
+    assert report["regressions_rows"] == 2
+    assert [json.loads(x)["id"] for x in read_lines(f"{tmp_path}/r_regressions")] == ["7", "unknown"]
     scores = {r.seq: r for r in result.scores.collect()}
     assert scores[1].candidate_f1 == 1.0 and scores[1].baseline_f1 == 0.0
     assert scores[2].baseline_f1 == pytest.approx(0.8)
@@ -165,7 +196,9 @@ def test_score_job(spark, write, tmp_path):
     )
     assert list(reports.score_eval(spark, source, f"{tmp_path}/r", "m").first()) == ["m", 0.75, 2]
     report = json.loads("\n".join(read_lines(f"{tmp_path}/r")))
-    assert report["cases"] == [{"id": "q1", "score": 1.0}, {"id": "q2", "score": 0.5}]
+    assert report == {"model": "m", "average_score": 0.75, "cases_rows": 2}
+    cases = [json.loads(x) for x in read_lines(f"{tmp_path}/r_cases")]
+    assert cases == [{"seq": 1, "id": "q1", "score": 1.0}, {"seq": 2, "id": "q2", "score": 0.5}]
     fixed = reports.score_eval(spark, source, f"{tmp_path}/s", "n", lambda a, b: F.lit(0.25)).first()
     assert list(fixed) == ["n", 0.25, 2]
 
@@ -183,6 +216,9 @@ def test_feedback(spark, tmp_path):
     for _ in range(2):
         exported = reports.feedback_roundtrip(entries, f"{tmp_path}/t", f"{tmp_path}/e", ["n"], F.lit(STAMP))
     assert exported == 4
+    refused = spark.read.parquet(f"{tmp_path}/t_rejected").select("rating", "reason").collect()
+    assert sorted(map(str, (r.reason for r in refused))) == sorted(2 * ["rating out of range", "response is null", "rating is null"])
+    assert feedback.append_feedback(entries, f"{tmp_path}/u", ["n"]) == (2, 3)
     rows = [json.loads(x) for x in read_lines(f"{tmp_path}/e")]
     assert [(r["id"], r["prompt"], r["rating"], r["tags"]) for r in rows] == [
         (1, "p", 5, ""), (2, "q", 1, "t"), (3, "p", 5, ""), (4, "q", 1, "t"),
