@@ -7,13 +7,11 @@ from pyspark.sql import functions as F
 from quern.catalog import query, sql, table
 from quern.functions.hashing import simhash64
 from quern.operators import exact, near
-from quern.operators.outcomes import Decisions, record_traits
+from quern.operators.outcomes import Decisions, record_traits, rejected
 from quern.plans.prepare import prepare
 from quern.session import scratch_path, spread, stage
 from quern.streaming.ingest import prepare_stream
 
-WIDE_DISTANCE = 10
-
 
 def _docs(spark, sf):
     return spread(table(spark, sf, "documents"), "doc_id")
@@ -24,6 +22,17 @@ def _prints(spark, sf):
     return _docs(spark, sf).select(F.col("doc_id").alias("seq"), simhash64(F.col("text"), "md5").alias("fp"))
 
 
+def _wide(spark, sf):
+    """Every document, and a copy of it with one word more under a number of its own."""
+    docs = _docs(spark, sf).select("doc_id", "text")
+    edited = docs.select((2 * F.col("doc_id") + 1).alias("doc_id"), F.concat("text", F.lit(" appendix")).alias("text"))
+    return docs.withColumn("doc_id", 2 * F.col("doc_id")).unionByName(edited)
+
+
+def _wide_prints(spark, sf):
+    return _wide(spark, sf).select(F.col("doc_id").alias("seq"), simhash64(F.col("text"), "md5").alias("fp"))
+
+
 def _heads(prints):
     return prints.groupBy("fp").agg(F.min("seq").alias("seq")).select("seq", "fp")
 
@@ -32,8 +41,12 @@ _PAIRS = """WITH RECURSIVE {votes},
     heads AS (SELECT min(doc_id) AS doc_id, fp FROM prints GROUP BY fp),{greedy}"""
 
 
-def _greedy(distance):
-    return _PAIRS.format(votes=sql.votes_ctes("documents"), greedy=sql.greedy_ctes("heads", distance))
+_WIDE_DOCS = """(SELECT 2 * doc_id AS doc_id, text FROM documents
+      UNION ALL SELECT 2 * doc_id + 1, text || ' appendix' FROM documents)"""
+
+
+def _greedy(docs="documents"):
+    return _PAIRS.format(votes=sql.votes_ctes(docs), greedy=sql.greedy_ctes("heads", 3))
 
 
 @query("exact_dedup_sha256", f"WITH {sql.distinct_clean_ctes(0)} SELECT doc_id, text FROM firsts")
@@ -50,36 +63,36 @@ def exact_dedup_text(spark, sf):
     return exact.exact_dedup_text(_docs(spark, sf)).select("doc_id", "text")
 
 
-@query("near_dup_pairs", f"{_greedy(3)} SELECT a, b, distance FROM edges")
+@query("near_dup_pairs", f"{_greedy()} SELECT a, b, distance FROM edges")
 def near_dup_pairs(spark, sf):
     pairs = near.near_dup_pairs(stage(_heads(_prints(spark, sf)), "heads"))
     return pairs.withColumn("distance", F.col("distance").cast("bigint"))
 
 
-@query("near_dup_pairs_wide", f"{_greedy(WIDE_DISTANCE)} SELECT a, b, distance FROM edges")
+@query("near_dup_pairs_wide", f"{_greedy(_WIDE_DOCS)} SELECT a, b, distance FROM edges")
 def near_dup_pairs_wide(spark, sf):
-    pairs = near.near_dup_pairs(stage(_heads(_prints(spark, sf)), "heads"), WIDE_DISTANCE)
+    """Every document and an edited copy: most documents have a pair."""
+    pairs = near.near_dup_pairs(stage(_heads(_wide_prints(spark, sf)), "heads"))
     return pairs.withColumn("distance", F.col("distance").cast("bigint"))
 
 
-def _survivors_sql(distance):
-    return f"""{_greedy(distance)}
+def _survivors_sql(docs="documents"):
+    return f"""{_greedy(docs)}
     SELECT doc_id FROM heads WHERE doc_id NOT IN (SELECT doc_id FROM losers)"""
 
 
-@query("near_dedup_greedy", _survivors_sql(3))
+@query("near_dedup_greedy", _survivors_sql())
 def near_dedup_greedy(spark, sf):
     return near.near_dedup_greedy(_prints(spark, sf)).select(F.col("seq").alias("doc_id"))
 
 
-@query("near_dedup_greedy_wide", _survivors_sql(WIDE_DISTANCE))
+@query("near_dedup_greedy_wide", _survivors_sql(_WIDE_DOCS))
 def near_dedup_greedy_wide(spark, sf):
-    return near.near_dedup_greedy(_prints(spark, sf), WIDE_DISTANCE).select(
-        F.col("seq").alias("doc_id")
-    )
+    return near.near_dedup_greedy(_wide_prints(spark, sf)).select(F.col("seq").alias("doc_id"))
 
 
-_OUTCOMES = f"""WITH RECURSIVE {sql.distinct_clean_ctes()},{sql.votes_ctes('firsts')},
+def _outcomes_sql(family="md5"):
+    return f"""WITH RECURSIVE {sql.distinct_clean_ctes()},{sql.votes_ctes('firsts', family=family)},
     heads AS (SELECT min(doc_id) AS doc_id, fp FROM prints GROUP BY fp),{sql.greedy_ctes('heads', 3)},
     kept AS (SELECT doc_id FROM heads WHERE doc_id NOT IN (SELECT doc_id FROM losers)),
     outcomes AS (
@@ -91,6 +104,12 @@ _OUTCOMES = f"""WITH RECURSIVE {sql.distinct_clean_ctes()},{sql.votes_ctes('firs
       FROM cleaned c LEFT JOIN firsts f ON f.text = c.text)"""
 
 
+_OUTCOMES, _OUTCOMES_BLAKE2B = _outcomes_sql(), _outcomes_sql("blake2b")
+_KEPT = """SELECT c.doc_id, c.text, d.lang, d.source, d.n_chars
+    FROM cleaned c JOIN outcomes o USING (doc_id) JOIN documents d USING (doc_id)
+    WHERE o.status = 'kept'"""
+
+
 def _decisions(spark, sf, family="md5"):
     return Decisions(record_traits(table(spark, sf, "documents"), "doc_id", family=family))
 
@@ -112,28 +131,34 @@ def prepare_stats(spark, sf):
     return _decisions(spark, sf).stats()
 
 
-@query(
-    "corpus_prepare",
-    f"""{_OUTCOMES} SELECT c.doc_id, c.text, d.lang, d.source, d.n_chars
-    FROM cleaned c JOIN outcomes o USING (doc_id) JOIN documents d USING (doc_id)
-    WHERE o.status = 'kept'""",
-)
+@query("corpus_prepare", f"{_OUTCOMES} {_KEPT}")
 def corpus_prepare(spark, sf):
-    """MD5 family, which SQL can follow."""
+    """MD5 family."""
     return prepare(table(spark, sf, "documents"), family="md5").kept
 
 
-@query("corpus_prepare_blake2b")
+@query("corpus_prepare_blake2b", f"{_OUTCOMES_BLAKE2B} {_KEPT}")
 def corpus_prepare_blake2b(spark, sf):
     """The default family."""
     return prepare(table(spark, sf, "documents")).kept
 
 
-@query("prepare_outcomes_blake2b")
+@query("prepare_outcomes_blake2b", f"{_OUTCOMES_BLAKE2B} SELECT doc_id, status FROM outcomes")
 def prepare_outcomes_blake2b(spark, sf):
     return _decisions(spark, sf, "blake2b").outcomes().withColumnRenamed("seq", "doc_id")
 
 
+@query(
+    "rejected_records",
+    f"""{_OUTCOMES} SELECT d.*, o.status AS reason FROM documents d JOIN outcomes o USING (doc_id)
+    WHERE o.status <> 'kept'""",
+)
+def rejected_records(spark, sf):
+    """The records that preparation leaves out, whole, each with its reason."""
+    docs = table(spark, sf, "documents")
+    return rejected(docs, _decisions(spark, sf).outcomes(), "doc_id")
+
+
 @query(
     "incremental_prepare",
     f"""{_OUTCOMES} SELECT doc_id, c.text FROM cleaned c JOIN outcomes o USING (doc_id)

@@ -245,3 +245,41 @@ STORED = f"""WITH {ENTRIES}, stored AS (
       SELECT row_number() OVER (ORDER BY conv_id, turn) AS id, prompt, response, rating,
         '' AS tags, '' AS notes, '{STAMP}' AS created_at
       FROM entries WHERE prompt IS NOT NULL AND response IS NOT NULL AND rating BETWEEN 1 AND 5)"""
+
+
+@query(
+    "preference_pairs",
+    f"""WITH {CASES} SELECT seq, prompt,
+      CASE human_preference WHEN 'candidate' THEN candidate ELSE baseline END AS chosen,
+      CASE human_preference WHEN 'candidate' THEN baseline ELSE candidate END AS rejected
+    FROM cases WHERE human_preference IN ('candidate', 'baseline') AND candidate <> baseline""",
+)
+def preference_pairs(spark, sf):
+    return evals.preference_pairs(conversation_cases(spark, sf))
+
+
+@query(
+    "context_scores",
+    f"""WITH {CASES}, {_bags('prompt')}, {_bags('expected')}, {_bags('candidate')},
+    hits AS (SELECT c.seq,
+        (SELECT sum(least(a.n, p.n)) FROM candidate_bag a JOIN prompt_bag p USING (seq, token) WHERE seq = c.seq) AS a,
+        (SELECT sum(least(e.n, p.n)) FROM expected_bag e JOIN prompt_bag p USING (seq, token) WHERE seq = c.seq) AS e
+      FROM cases c)
+    SELECT h.seq, round(coalesce(h.a / nullif(a.n, 0)::DOUBLE, 0.0), {PLACES}) AS faithfulness,
+      round(coalesce(h.e / nullif(e.n, 0)::DOUBLE, 0.0), {PLACES}) AS context_recall
+    FROM hits h LEFT JOIN candidate_size a USING (seq) LEFT JOIN expected_size e USING (seq)""",
+)
+def context_scores(spark, sf):
+    """The prompt stands for the retrieved context."""
+    scored = evals.context_scores(conversation_cases(spark, sf), "seq", "prompt", "candidate", "expected")
+    return _rounded(scored, "faithfulness", "context_recall")
+
+
+@query(
+    "low_ratings",
+    f"WITH {ENTRIES} SELECT conv_id, turn, prompt, response, rating FROM entries WHERE rating < 3 "
+    "AND rating >= 1 AND prompt IS NOT NULL AND response IS NOT NULL",
+)
+def low_ratings(spark, sf):
+    """Valid feedback with a rating below 3, for review."""
+    return feedback.low_ratings(feedback_entries(spark, sf))

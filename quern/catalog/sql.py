@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from quern.catalog import blake2b
+
 WS = (
     r"[\x{09}-\x{0d}\x{1c}-\x{20}\x{85}\x{a0}\x{1680}\x{2000}-\x{200a}\x{2028}-\x{2029}"
     r"\x{202f}\x{205f}\x{3000}]"
@@ -49,12 +51,18 @@ def signed(x: str) -> str:
     )
 
 
-def votes_ctes(docs: str, key: str = "doc_id", text: str = "text") -> str:
-    """CTEs votes(key, bit, votes) and prints(key, fp): MD5 SimHash of a relation."""
+def votes_ctes(docs: str, key: str = "doc_id", text: str = "text", family: str = "md5") -> str:
+    """CTEs votes(key, bit, votes) and prints(key, fp): SimHash of a relation.
+
+    The BLAKE2b family needs WITH RECURSIVE.
+    """
+    hashes = f"h AS (SELECT {key}, ('0x' || substr(md5(s), 1, 16))::UBIGINT AS h FROM sh)"
+    if family == "blake2b":
+        hashes = f"{blake2b.ctes('sh')},\n    h AS (SELECT {key}, h FROM sh JOIN blake USING (s))"
     return f"""
     tok AS (SELECT {key}, {tokens(text)} AS t FROM {docs}),
     sh AS (SELECT {key}, unnest({shingles('t')}) AS s FROM tok),
-    h AS (SELECT {key}, ('0x' || substr(md5(s), 1, 16))::UBIGINT AS h FROM sh),
+    {hashes},
     votes AS (
       SELECT {key}, bit, sum(CASE WHEN (h >> bit) & 1 = 1 THEN 1 ELSE -1 END)::BIGINT AS votes
       FROM h, (SELECT unnest(range(0, 64))::UBIGINT AS bit) GROUP BY {key}, bit),

@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from quern.catalog import query, sql, table
 from quern.functions import hashing, text
-from quern.operators import filters, quality
+from quern.operators import filters, profile, quality
 from quern.operators.skew import join_groups
 from quern.operators.votes import simhash64_md5, simhash_votes
 from quern.session import spread, stage
@@ -148,9 +148,13 @@ def simhash64(spark, sf):
     return simhash64_md5(_docs(spark, sf))
 
 
-@query("simhash64_blake2b")
+@query(
+    "simhash64_blake2b",
+    f"""WITH RECURSIVE {sql.votes_ctes('documents', family='blake2b')}
+    SELECT doc_id, {sql.signed('fp')} AS fingerprint FROM prints""",
+)
 def simhash64_blake2b(spark, sf):
-    """The default family; SQL has no BLAKE2b, so goldens check it in the tests."""
+    """The default family."""
     return _docs(spark, sf).select("doc_id", hashing.simhash64(F.col("text")).alias("fingerprint"))
 
 
@@ -285,3 +289,76 @@ def cell_defaults(spark, sf):
     return joined.groupBy("source").agg(
         quality.cell_default(F.round(F.avg("quality"), 2), 0.0).alias("average_quality")
     )
+
+
+_MARKED = "documents LEFT JOIN labels USING (doc_id)"
+_COLUMNS = ["doc_id", "text", "lang", "source", "n_chars", "quality", "toxic"]
+_RATES = " UNION ALL ".join(
+    f"SELECT '{c}' AS \"column\", count(*) AS rows, count(*) - count({c}) AS nulls, "
+    f"coalesce((count(*) - count({c})) / nullif(count(*), 0)::DOUBLE, 0.0) AS null_rate FROM {_MARKED}"
+    for c in _COLUMNS
+)
+
+
+@query("null_rates", _RATES)
+def null_rates(spark, sf):
+    """Documents with their labels, which only some have."""
+    marked = table(spark, sf, "documents").join(table(spark, sf, "labels"), "doc_id", "left")
+    return profile.null_rates(marked.select(*_COLUMNS))
+
+
+@query(
+    "language_shares",
+    """SELECT lang, count(*) AS rows, count(*) / (SELECT count(*) FROM documents)::DOUBLE AS share
+    FROM documents GROUP BY lang""",
+)
+def language_shares(spark, sf):
+    return profile.shares(table(spark, sf, "documents"), "lang")
+
+
+@query(
+    "length_quantiles",
+    " UNION ALL ".join(
+        f"SELECT {q}::DOUBLE AS quantile, round(quantile_cont(length(text)::DOUBLE, {q}), 6) AS chars FROM documents"
+        for q in profile.QUANTILES
+    ),
+)
+def length_quantiles(spark, sf):
+    found = profile.length_quantiles(table(spark, sf, "documents"))
+    return found.withColumn("chars", F.round("chars", 6))
+
+
+_GARBLED = r"regexp_replace(t, '[\x{0}-\x{8}\x{b}\x{c}\x{e}-\x{1f}\x{7f}\x{fffd}]', '', 'g')"
+
+
+@query(
+    "record_checks",
+    f"""WITH d AS (SELECT doc_id, lang,
+        CASE doc_id % 9 WHEN 0 THEN ' ' WHEN 1 THEN chr(65533) || chr(1) || left(text, 8) ELSE text END AS t
+      FROM documents),
+    c AS (SELECT doc_id, {sql.strip('t')} = '' AS is_empty,
+        round((length(t) - length({_GARBLED})) / length(t)::DOUBLE, 9) AS garbled_ratio,
+        lang IN ('en', 'de') AS lang_known FROM d)
+    SELECT *, NOT is_empty AND garbled_ratio <= 0.1 AND lang_known AS passes FROM c""",
+)
+def record_checks(spark, sf):
+    """Some texts are taken as blank, some as garbled."""
+    kind = F.col("doc_id") % 9
+    garbled = F.concat(F.lit("\ufffd\x01"), F.left("text", F.lit(8)))
+    text_or = F.when(kind == 0, " ").when(kind == 1, garbled).otherwise(F.col("text"))
+    docs = _docs(spark, sf).select("doc_id", "lang", text_or.alias("text"))
+    checked = profile.record_checks(docs, ["en", "de"])
+    return checked.drop("lang", "text").withColumn("garbled_ratio", F.round("garbled_ratio", 9))
+
+
+@query(
+    "annotator_agreement",
+    """WITH m AS (SELECT quality AS a, 1 - toxic AS b FROM labels WHERE quality IS NOT NULL AND toxic IS NOT NULL),
+    s AS (SELECT count(*) AS items, avg((a = b)::INT) AS agreement, avg(a) * avg(b) + (1 - avg(a)) * (1 - avg(b)) AS e FROM m)
+    SELECT items, round(agreement, 9) AS agreement, round((agreement - e) / nullif(1 - e, 0), 9) AS kappa FROM s""",
+)
+def annotator_agreement(spark, sf):
+    """Good quality against not toxic, as two annotators' marks of the same documents."""
+    marks = table(spark, sf, "labels").select("quality", (1 - F.col("toxic")).alias("clean"))
+    found = profile.agreement(marks, "quality", "clean")
+    return found.withColumns({c: F.round(c, 9) for c in ("agreement", "kappa")})

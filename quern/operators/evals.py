@@ -130,3 +130,33 @@ def score_report(scored: DataFrame, model: str) -> DataFrame:
         F.count(F.lit(1)).alias("n_cases"),
         F.coalesce(F.round(F.avg("score"), 4), F.lit(0.0)).alias("average_score"),
     ).select(F.lit(model).alias("model"), "average_score", "n_cases")
+
+
+def preference_pairs(cases: DataFrame) -> DataFrame:
+    """(order column ``seq``, prompt, chosen, rejected) where a candidate or baseline was preferred over another text."""
+    won = F.col("human_preference") == "candidate"
+    decided = cases.where(
+        F.col("human_preference").isin("candidate", "baseline")
+        & F.col("candidate").isNotNull()
+        & F.col("baseline").isNotNull()
+        & (F.col("candidate") != F.col("baseline"))
+    )
+    return decided.select(
+        "seq",
+        "prompt",
+        F.when(won, F.col("candidate")).otherwise(F.col("baseline")).alias("chosen"),
+        F.when(won, F.col("baseline")).otherwise(F.col("candidate")).alias("rejected"),
+    )
+
+
+def context_scores(rows: DataFrame, key: str, context: str, answer: str, wanted: str) -> DataFrame:
+    """(key, faithfulness, context_recall): shares of an answer's and of the wanted tokens that the context holds.
+
+    Token-overlap proxies; a text without tokens scores 0.
+    """
+    counted = token_overlaps(rows, key, context, [answer, wanted])
+
+    def share(side: str) -> Column:
+        return F.coalesce(F.try_divide(f"overlap_{side}", f"n_{side}"), F.lit(0.0))
+
+    return counted.select(key, share(answer).alias("faithfulness"), share(wanted).alias("context_recall"))

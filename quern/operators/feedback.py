@@ -116,3 +116,8 @@ def valid_answer() -> Column:
     return F.coalesce(
         F.col("preference").isin(*PREFERENCE_ANSWERS) & F.col("score").between(low, high), F.lit(False)
     )
+
+
+def low_ratings(entries: DataFrame, below: int = 3) -> DataFrame:
+    """Entries that may be stored and are rated under ``below``, with all their columns."""
+    return entries.where(rejection().isNull() & (F.col("rating") < below))

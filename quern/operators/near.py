@@ -52,7 +52,8 @@ def _compare(keyed: DataFrame, max_distance: int, cells: bool = False) -> DataFr
     """
     on = ["mask", "pin"]
     left = keyed.select(*on, F.col("seq").alias("a"), F.col("fp").alias("fa"), *(["n"] if cells else []))
-    right = keyed.select(*on, F.col("seq").alias("b"), F.col("fp").alias("fb"), *(["n"] if cells else []))
+    # Known rows come before all others, so only given ones are the later side of a pair.
+    right = keyed.where(~F.col("old")).select(*on, F.col("seq").alias("b"), F.col("fp").alias("fb"), *(["n"] if cells else []))
     if cells:
         width = F.ceil(F.col("n") / CELL_ROWS)
         every = F.explode(F.sequence(F.lit(0), width - 1))
@@ -67,10 +68,17 @@ def _compare(keyed: DataFrame, max_distance: int, cells: bool = False) -> DataFr
 
 
 def near_dup_pairs(
-    prints: DataFrame, max_distance: int = MAX_DISTANCE, bucket_rows: int = BUCKET_ROWS
+    prints: DataFrame,
+    max_distance: int = MAX_DISTANCE,
+    bucket_rows: int = BUCKET_ROWS,
+    known: DataFrame | None = None,
 ) -> DataFrame:
     """All pairs (a, b, distance), a before b, of distinct fingerprints (seq, fp).
 
+    With ``known`` (seq, fp), which all come before ``prints``, a pair's earlier
+    side may be known too; two known ones are never compared. Known rows that
+    share no first-level bucket with a given one are left out of every shuffle.
+
     A bucket is a set of pinned bits and their value. The first level pins one
     of ``max_distance + 1`` bit groups; every pair in question shares a bucket.
     Buckets that are too crowded to compare pin one more group of their free
@@ -87,12 +95,21 @@ def near_dup_pairs(
         raise ValueError("max_distance must be in 0..63")
     parts = max_distance + 1
     masks = _narrower(0, parts)
-    pending = prints.select("seq", "fp", F.explode(_mask_array(masks)).alias("mask"))
+    pending = _masked(prints, masks).withColumn("old", F.lit(False))
+    if known is not None:
+        pin = F.col("fp").bitwiseAND(F.col("mask")).alias("pin")
+        given = pending.select("mask", pin).distinct()
+        met = _masked(known, masks).select("*", pin).join(given, ["mask", "pin"], "left_semi")
+        pending = stage(pending.unionByName(met.drop("pin").withColumn("old", F.lit(True))), "pending")
     found = []
     for level in range(MAX_LEVELS):
         keyed = pending.withColumn("pin", F.col("fp").bitwiseAND(F.col("mask")))
-        sizes = keyed.groupBy("mask", "pin").agg(F.count(F.lit(1)).alias("n"))
-        crowded, n_crowded = stage_counted(sizes.where(F.col("n") > bucket_rows), "crowded")
+        sizes = keyed.groupBy("mask", "pin").agg(
+            F.count(F.lit(1)).alias("n"), F.count_if(~F.col("old")).alias("given")
+        )
+        crowded, n_crowded = stage_counted(
+            sizes.where((F.col("n") > bucket_rows) & (F.col("given") > 0)).drop("given"), "crowded"
+        )
         if n_crowded == 0:
             found.append(_compare(keyed, max_distance))
             break
@@ -103,7 +120,7 @@ def near_dup_pairs(
             or not all(splits.values())
         )
         if n_crowded > MAX_CROWDED and not last:
-            pending, masks = _split(keyed, splits), _inner(splits)
+            pending, masks = stage(_split(keyed, splits), "pending"), _inner(splits)
             continue
         lookup = F.broadcast(crowded) if n_crowded <= MAX_CROWDED else crowded
         found.append(
@@ -118,7 +135,7 @@ def near_dup_pairs(
         found.append(
             _compare(dense.join(chosen, ["mask", "pin"], "left_anti"), max_distance, cells=True)
         )
-        pending = _split(dense.join(chosen, ["mask", "pin"], "left_semi"), splits)
+        pending = stage(_split(dense.join(chosen, ["mask", "pin"], "left_semi"), splits), "pending")
         masks = _inner(splits)
     return reduce(DataFrame.unionByName, found).distinct()
 
@@ -128,7 +145,7 @@ def _split(keyed: DataFrame, splits: dict[int, list[int]], *keep: str) -> DataFr
     rows = [(_signed(mask), [_signed(m) for m in inner]) for mask, inner in splits.items()]
     table = keyed.sparkSession.createDataFrame(rows, "mask long, inner array<long>")
     exploded = keyed.join(F.broadcast(table), "mask").select(
-        *keep, "seq", "fp", F.explode("inner").alias("_mask")
+        *keep, "seq", "fp", "old", F.explode("inner").alias("_mask")
     )
     return exploded if keep else exploded.withColumnRenamed("_mask", "mask")
 
@@ -155,8 +172,9 @@ def _worth_splitting(dense: DataFrame, splits: dict[int, list[int]]) -> DataFram
     return costs.where(thinner).select("mask", "pin")
 
 
-def _mask_array(masks: list[int]):
-    return F.array(*[F.lit(_signed(mask)).cast("long") for mask in masks])
+def _masked(prints: DataFrame, masks: list[int]) -> DataFrame:
+    every = F.array(*[F.lit(_signed(mask)).cast("long") for mask in masks])
+    return prints.select("seq", "fp", F.explode(every).alias("mask"))
 
 
 def greedy_losers(edges: DataFrame) -> DataFrame:
@@ -188,13 +206,19 @@ def greedy_losers(edges: DataFrame) -> DataFrame:
 
 
 def near_dedup_greedy(
-    prints: DataFrame, max_distance: int = MAX_DISTANCE, bucket_rows: int = BUCKET_ROWS
+    prints: DataFrame,
+    max_distance: int = MAX_DISTANCE,
+    bucket_rows: int = BUCKET_ROWS,
+    known: DataFrame | None = None,
 ) -> DataFrame:
     """(seq) of the rows that survive near deduplication of (seq, fp), in ``seq`` order.
 
+    ``known`` (seq, fp) has survivors of before, all earlier; rows near one of
+    them do not survive.
+
     Rows with the same fingerprint can only survive through their first one, so
     they are folded first; that keeps a group of many copies at one row.
     """
     heads = stage(prints.groupBy("fp").agg(F.min("seq").alias("seq")).select("seq", "fp"), "heads")
-    losers = greedy_losers(near_dup_pairs(heads, max_distance, bucket_rows))
+    losers = greedy_losers(near_dup_pairs(heads, max_distance, bucket_rows, known))
     return heads.select("seq").join(losers, "seq", "left_anti")

@@ -77,9 +77,8 @@ class Decisions:
         if known is not None:
             fresh = distinct.join(known.select("key"), "key", "left_anti")
         prints = fresh.select(F.col("first_seq").alias("seq"), "fp")
-        if known is not None:
-            prints = prints.unionByName(known.select("seq", "fp"))
-        survivors = near_dedup_greedy(prints, max_distance)
+        before = None if known is None else known.select("seq", "fp")
+        survivors = near_dedup_greedy(prints, max_distance, known=before)
         kept = survivors.select(F.col("seq").alias("first_seq"), F.lit(True).alias("kept"))
         texts = distinct.join(kept, "first_seq", "left").fillna(False, ["kept"])
         if known is not None:
@@ -147,3 +146,11 @@ class Decisions:
         return early.withColumn("_one", F.lit(1)).join(
             F.broadcast(dup.withColumn("_one", F.lit(1))), "_one"
         ).drop("_one")
+
+
+def rejected(docs: DataFrame, outcomes: DataFrame, order: str) -> DataFrame:
+    """``docs`` that were not kept, with all their columns and the ``reason``."""
+    reasons = outcomes.where("status <> 'kept'").select(
+        F.col("seq").alias(order), F.col("status").alias("reason")
+    )
+    return docs.join(reasons, order)

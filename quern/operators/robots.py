@@ -126,7 +126,12 @@ def robots_filter(
     known = stage(
         hosts.join(rules.withColumnRenamed("host", "_host"), "_host", "left"), "robots"
     )
-    joined = join_groups(parts, known, "_host", "_urls", hot_rows, MAX_BROADCAST_HOSTS)
+    weight = F.aggregate(
+        F.coalesce("rules", F.array().cast(_RULES)),
+        F.lit(0).cast("long"),
+        lambda total, rule: total + 32 + F.coalesce(F.octet_length(rule["path"]), F.lit(0)),
+    )
+    joined = join_groups(parts, known, "_host", "_urls", hot_rows, MAX_BROADCAST_HOSTS, weight)
     matching = F.expr("filter(rules, r -> r.path = '*' OR startswith(_path, r.path))")
     verdict = F.coalesce(F.try_element_at(matching, F.lit(1))["allow"], F.lit(True))
     return joined.where(verdict).select(*urls.columns)

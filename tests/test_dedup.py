@@ -3,7 +3,7 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
-from quern.operators import exact, near
+from quern.operators import exact, near, skew
 from quern.operators.numbering import number_rows
 from quern.operators.outcomes import Decisions, record_traits
 from quern.operators.skew import join_groups
@@ -216,3 +216,45 @@ def test_known_texts_count_as_seen(spark):
     decisions = Decisions(record_traits(later, "doc_id"), known=first.kept_texts())
     assert statuses(decisions) == ["exact_duplicate", "near_duplicate", "exact_duplicate", "kept"]
     assert list(decisions.stats().first()) == [4, 0, 0, 2, 1, 1]
+
+
+@pytest.mark.parametrize("bucket_rows", [512, 8])
+def test_known_fingerprints_are_never_paired_with_each_other(spark, bucket_rows):
+    rows = list({fp: seq for seq, fp in clustered(300, 8, random.Random(77))}.items())
+    rows = sorted((seq, fp) for fp, seq in rows)
+    cut = len(rows) // 2
+    known, given = rows[:cut], rows[cut:]
+    want = {
+        (a, b)
+        for i, (b, y) in enumerate(rows)
+        for a, x in rows[:i]
+        if i >= cut and ((x ^ y) % (1 << 64)).bit_count() <= 3
+    }
+    frames = [spark.createDataFrame(part, "seq long, fp long") for part in (given, known)]
+    pairs = near.near_dup_pairs(frames[0], 3, bucket_rows, known=frames[1]).collect()
+    assert {(r.a, r.b) for r in pairs} == want and len(pairs) == len(want)
+
+
+def test_rows_near_known_survivors_do_not_survive(spark):
+    rows = sorted((seq, fp) for seq, fp in clustered(300, 8, random.Random(78)))
+    cut = len(rows) // 2
+    before = sequential(rows[:cut], 3)
+    known = spark.createDataFrame([r for r in rows[:cut] if r[0] in before], "seq long, fp long")
+    given = spark.createDataFrame(rows[cut:], "seq long, fp long")
+    got = {r.seq for r in near.near_dedup_greedy(given, known=known).collect()}
+    assert got == sequential(rows, 3) - before
+    none = spark.createDataFrame([], "seq long, fp long")
+    assert {r.seq for r in near.near_dedup_greedy(given, known=none).collect()} == sequential(rows[cut:], 3)
+
+
+def test_heavy_key_rows_are_joined_without_broadcasting_them(spark, monkeypatch):
+    monkeypatch.setattr(skew, "MAX_BROADCAST_BYTES", 10)
+    rows = [(i, "hot" if i % 3 else f"k{i % 7}", "x") for i in range(300)] + [(0, "k0", "x")] * 5
+    sizes = {}
+    for _, key, _ in rows:
+        sizes[key] = sizes.get(key, 0) + 1
+    left = spark.createDataFrame(rows, "id long, key string, `a.b` string")
+    groups = spark.createDataFrame([(k, n, k * 3) for k, n in sizes.items()], "key string, n long, rules string")
+    joined = join_groups(left, groups, "key", "n", hot_rows=20, weight=F.lit(1000))
+    got = sorted((r.id, r.key, r.rules) for r in joined.collect())
+    assert got == sorted((i, k, k * 3) for i, k, _ in rows)
