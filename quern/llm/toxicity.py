@@ -10,7 +10,8 @@ Insults are a fixed list of common ones and what the labelled texts teach: words
 and word beginnings that toxic documents hold far more often than chance allows
 (a likelihood ratio, corrected for the number of candidates). The weights of the
 kinds of match are a logistic regression on the same labelled rows. The fit uses at
-most about SAMPLE_ROWS labelled rows, picked by hash, and one of each group of copies.
+most about SAMPLE_ROWS labelled rows, picked by hash, and one of each group of equal texts
+with equal labels; texts that differ in anything are rows of their own.
 
 Defined results: null or empty texts get the score of a text without matches; rows
 with a null id are scored but never learned from; without labelled rows of both
@@ -250,11 +251,8 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: st
     marks = marks.where(F.pmod(F.xxhash64("_id"), F.lit(1_000_000)) < F.lit(int(share * 1_000_000)))
     texts = docs.where(F.col(text_col).isNotNull()).select(F.col(id_col).alias("_id"), F.col(text_col).alias("_text"))
     rows = texts.join(marks, "_id").select(F.col("_text").alias("text"), "toxic")
-    # One row of each group of copies, near copies included (they mostly share their smallest word).
-    words = F.split(F.lower("text"), r"\s+")
-    least = F.array_min(F.transform(words, lambda w: F.xxhash64(w)))
-    rows = rows.groupBy(least, "toxic", F.length("text") > 400).agg(F.max("text").alias("text"))
-    sample = staging.write(rows.select("text", "toxic").repartition(F.xxhash64("text")))
+    rows = rows.distinct()
+    sample = staging.write(rows.repartition(F.xxhash64("text")))
     n = {r.toxic: r.n for r in sample.groupBy("toxic").agg(F.count(F.lit(1)).alias("n")).collect()}
     n_toxic, n_clean = n.get(1, 0), n.get(0, 0)
     lexicon: dict[str, float] = {}

@@ -52,3 +52,22 @@ def test_held_out(spark):
     found = [scored[r.doc_id].predicted for r in labels if scored[r.doc_id].held_out and r.toxic]
     assert len(right) > 100 and np.mean(right) > 0.95
     print(np.mean(right), np.mean(found), len(found))
+
+
+def test_learns_from_every_distinct_text(spark):
+    # All texts share a frame of words; only equal texts may fold.
+    frame = " ".join(f"frame{a}{b}" for a in "abcdefgh" for b in "abcdefgh")
+    rows = [(i, f"{frame} zorkel {'abcdefghij'[i % 10] * (i // 10 + 1)}", 1) for i in range(100)]
+    rows += [(100 + i, f"{frame} quiet {'abcdefghij'[i % 10] * (i // 10 + 1)}", 0) for i in range(300)]
+    docs = spark.createDataFrame([r[:2] for r in rows], "doc_id long, text string")
+    labels = spark.createDataFrame([(r[0], r[2]) for r in rows], "doc_id long, toxic int")
+    assert "zorkel" in tox.fit(docs, labels).lexicon
+
+
+def test_held_out_toxic_rows_are_found(spark):
+    sf = "/root/testdata/sf0.1"
+    scored = {r.doc_id: r for r in QUERIES["op8_toxicity"](spark, sf).collect()}
+    toxic = [scored[r.doc_id] for r in spark.read.parquet(f"{sf}/labels.parquet").where("toxic = 1").collect()]
+    found = [r.predicted for r in toxic if r.held_out]
+    print(np.mean(found), len(found))
+    assert len(found) > 50 and np.mean(found) > 0.85
