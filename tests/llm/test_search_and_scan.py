@@ -95,3 +95,21 @@ def test_licenses_edges(spark):
     docs = spark.createDataFrame([(None, "mit license"), (1, "mit license"), (1, None)], "doc_id long, text string")
     assert sorted(str(r.doc_id) + r.base_labels for r in scan_licenses(docs).collect()) == ["1", "1mit", "Nonemit"]
     assert scan_licenses(docs.limit(0)).count() == 0
+
+
+WRAPPED = [
+    ("mit-notice", "# Permission is hereby granted, free of charge, to any person obtaining a copy\n# of this software and associated documentation files (the \"Software\"), to deal\n"),
+    ("bsd", " * Redistribution and use in source and binary forms, with or without\n * modification, are permitted provided that the following conditions\n * are met:\n"),
+    ("gpl-notice", "This program is free software: you can redistribute it\nand/or modify it under the terms of the GNU\nGeneral Public\nLicense as published by\n"),
+]
+
+
+@pytest.mark.parametrize("before", [0, 13, 30])
+def test_wrapped_notices(spark, before):
+    lead = "".join(f"line {i} of code\n" for i in range(before))
+    docs = spark.createDataFrame([(i, lead + t + lead) for i, (_, t) in enumerate(WRAPPED)], "doc_id long, text string")
+    found = {r.doc_id: r for r in scan_licenses(docs).collect()}
+    for i, (label, text) in enumerate(WRAPPED):
+        assert label in found[i].labels.split(",") and found[i].score >= 0.8
+    plain = spark.createDataFrame([(1, "no notice\nat all in\nthese lines\n" * 40)], "doc_id long, text string")
+    assert [(r.n_words, r.labels, r.score) for r in scan_licenses(plain).collect()] == [(280, "", 0.0)]
