@@ -39,7 +39,9 @@ EPOCHS = 4
 LEXICON_COUNT, LEXICON_SHARE = 5, 0.8
 UNKNOWN = "und"
 
-_WORD = re.compile(r"[^\W\d_]+")
+# A longer run of letters, as in text without spaces, is cut into words of this length.
+LONGEST = 40
+_WORD = re.compile(rf"[^\W\d_]{{1,{LONGEST}}}")
 # Chains solved at once, and words whose emissions a worker remembers.
 BLOCK_CHAINS = 4_096
 REMEMBERED = 400_000
@@ -55,7 +57,7 @@ def _has_letter(text: str | None) -> bool:
 
 def features(word: str, lexicon: dict[str, tuple[str, ...]]) -> list[int]:
     """Rows of the weight table for a word."""
-    marked = f"^{word[:40]}$"
+    marked = f"^{word}$"
     found = [f"w{word}", *("l" + lang for lang in lexicon.get(word, ()))]
     found += [f"p{marked[: n + 1]}" for n in (1, 2, 3)] + [f"s{marked[-n - 1 :]}" for n in (1, 2, 3)]
     found += [marked[i : i + n] for n in (2, 3) for i in range(len(marked) - n + 1)]

@@ -151,3 +151,14 @@ def test_language_edges(spark):
     found = {r.row.doc_id: (r.lang_pred, r.score) for r in langid.label_documents(more, langid.fit(more)).collect()}
     assert found[1] == found[2] == found[3] == ("und", 0.0) and found[5][0] == "en"
     assert langid.label_documents(docs.limit(0), None).count() == 0
+
+
+def test_long_runs_of_letters_give_features_to_their_end():
+    run = "".join(chr(ord("a") + i * i % 26) for i in range(130))
+    words = langid.words_of(run)
+    assert "".join(words) == run and max(map(len, words)) == 40
+    ends = {f for w in words for f in langid.features(w, {})}
+    assert set(langid.features(run[120:130], {})) <= ends
+    other = run[:60] + "zzzyyyxxx" + run[69:]
+    assert {f for w in langid.words_of(other) for f in langid.features(w, {})} != ends
+    assert langid.words_of("An ordinary text") == ["an", "ordinary", "text"]
