@@ -17,6 +17,9 @@ from quern.llm.repeats import remove_repeats
 from quern.llm.toxicity import drop_toxic
 from quern.session import stage
 
+# Words in a shingle of the near_dedup stage.
+SHINGLE = 5
+
 COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
 
 
@@ -32,7 +35,7 @@ def exact_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each near-duplicate component: that with the smallest id."""
-    return drop_near_copies(docs)
+    return drop_near_copies(docs, shingle=SHINGLE)
 
 
 def repeat_removal(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

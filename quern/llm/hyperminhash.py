@@ -27,6 +27,7 @@ equal ids are documents of their own.
 from __future__ import annotations
 
 from collections.abc import Iterator
+from functools import partial
 
 import numpy as np
 import pyarrow as pa
@@ -89,12 +90,12 @@ def compress(values: np.ndarray) -> np.ndarray:
     return ((63 - top).astype(np.uint16) << np.uint16(MANTISSA)) | bits.astype(np.uint16)
 
 
-def _sketches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _sketches(batches: Iterator[pa.RecordBatch], shingle: int) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         keys = batch.column(0).to_numpy()
         for first, after, data, borders in text_slices(batch.column(1)):
             rows = after - first
-            hashes, row = shingle_hashes(data, borders)
+            hashes, row = shingle_hashes(data, borders, shingle)
             values = mix(hashes ^ np.uint64(0xA5A5A5A5A5A5A5A5))
             lowest = np.full(rows * REGISTERS, np.iinfo(np.uint64).max, dtype=np.uint64)
             np.minimum.at(lowest, row * REGISTERS + (hashes % np.uint64(REGISTERS)).astype(np.int64), values)
@@ -119,11 +120,11 @@ def _sketches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             )
 
 
-def _sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _sets(batches: Iterator[pa.RecordBatch], shingle: int) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         keys = batch.column(0).to_numpy()
         for first, after, data, borders in text_slices(batch.column(1)):
-            hashes, row = shingle_hashes(data, borders)
+            hashes, row = shingle_hashes(data, borders, shingle)
             edges = np.searchsorted(row, np.arange(after - first + 1))
             sets = [np.unique(hashes[edges[i] : edges[i + 1]]) for i in range(after - first)]
             offsets = np.concatenate([[0], np.cumsum([len(s) for s in sets])]).astype(np.int32)
@@ -229,13 +230,15 @@ def _verified(pairs: DataFrame, sets: DataFrame) -> DataFrame:
     return both.where((small * 100 >= large * THRESHOLD) & (common * 100 >= union * THRESHOLD)).select("a", "b")
 
 
-def near_components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> tuple[DataFrame, DataFrame]:
+def near_components(
+    docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = SHINGLE
+) -> tuple[DataFrame, DataFrame]:
     """(rows, source): key, id, n_shingles, component_id and kept per document; key and input row."""
     staging = Staging(docs.sparkSession, "hyperminhash")
     source, by_id = keyed(docs, id_col, "key", staging)
     texts = source.select("key", F.coalesce(F.col("row").getField(text_col), F.lit("")).alias("text"))
     sketches = staging.write(
-        texts.mapInArrow(_sketches, "key long, n long, digest long, digest2 long, registers binary")
+        texts.mapInArrow(partial(_sketches, shingle=shingle), "key long, n long, digest long, digest2 long, registers binary")
     )
     nodes = staging.write(
         sketches.where("n > 0").groupBy("n", "digest", "digest2").agg(F.min("key").alias("node"), F.first("registers").alias("registers"))
@@ -249,7 +252,7 @@ def near_components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     shared = banded.groupBy("band").agg(F.count(F.lit(1)).alias("size"), F.min("node").alias("head")).where("size > 1")
     members = staging.write(banded.join(shared, "band"))
     wanted = members.select(F.col("node").alias("key")).distinct()
-    sets = staging.write(texts.join(wanted, "key", "left_semi").select("key", "text").mapInArrow(_sets, "node long, shingles array<long>, bits binary"))
+    sets = staging.write(texts.join(wanted, "key", "left_semi").select("key", "text").mapInArrow(partial(_sets, shingle=shingle), "node long, shingles array<long>, bits binary"))
     pairs = members.where("node != head").select(F.col("head").alias("a"), F.col("node").alias("b")).distinct()
     links = staging.write(_verified(pairs, sets))
     for step in range(STARS):
@@ -298,7 +301,9 @@ def near_components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     return rows, source
 
 
-def drop_near_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def drop_near_copies(
+    docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = SHINGLE
+) -> DataFrame:
     """One row of ``docs`` per component (that with the smallest id), with all its columns."""
-    rows, source = near_components(docs, id_col, text_col)
+    rows, source = near_components(docs, id_col, text_col, shingle)
     return source.join(rows.where("kept").select("key"), "key").select("row.*")

@@ -1,0 +1,33 @@
+"""The stages of the corpus pipeline on hand-made documents."""
+
+import random
+
+import corpus_pipeline
+
+SCHEMA = "doc_id long, text string, lang string, source string, n_chars long"
+
+
+def _docs(spark, texts):
+    return spark.createDataFrame([(i, t, "en", "web", len(t)) for i, t in enumerate(texts)], SCHEMA)
+
+
+def _prose(rng, n, size=5):
+    return " ".join("".join(rng.choice("abcdefghijklmnop") for _ in range(size)) for _ in range(n))
+
+
+def test_near_copies_share_five_word_shingles(spark):
+    rng = random.Random(4)
+    words = _prose(rng, 400).split()
+    edited = [f"x{i}" if i % 41 == 20 else w for i, w in enumerate(words)]
+    closer = [f"x{i}" if i % 80 == 20 else w for i, w in enumerate(words)]
+
+    def alike(a, b, n):
+        x, y = ({tuple(d[i : i + n]) for i in range(len(d) - n + 1)} for d in (a, b))
+        return len(x & y) / len(x | y)
+
+    assert alike(words, edited, 4) >= 0.8 > alike(words, edited, 5)
+    kept = corpus_pipeline.near_dedup(spark, _docs(spark, [" ".join(words), " ".join(edited)]), "").collect()
+    assert sorted(r.doc_id for r in kept) == [0, 1]
+    assert alike(words, closer, 5) >= 0.8
+    kept = corpus_pipeline.near_dedup(spark, _docs(spark, [" ".join(words), " ".join(closer)]), "").collect()
+    assert sorted(r.doc_id for r in kept) == [0]
