@@ -26,6 +26,7 @@ from __future__ import annotations
 
 import hashlib
 from collections.abc import Iterator
+from functools import partial
 
 import numpy as np
 import pyarrow as pa
@@ -228,9 +229,9 @@ def repeat_spans(rows: DataFrame, length: int, staging: Staging, crowd: int = CR
     )
     same = windows.groupBy("core", "core2", "text").agg(F.count(F.lit(1)).alias("_n")).where("_n > 1").drop("_n")
     crowded = windows.join(same, ["core", "core2", "text"]).select("core", "core2", "flank", "low", (F.col("low") + 1).alias("high"))
-    partial = compared.unionByName(crowded)
+    parts = compared.unionByName(crowded)
     whole = flanks.where("n > 1").select("core", "core2", "flank", F.lit(0).alias("low"), F.lit(BLOCK).alias("high"))
-    found = staging.write(partial.unionByName(whole))
+    found = staging.write(parts.unionByName(whole))
     within = pieces.join(found, ["core", "core2", "flank"]).select(
         "anchor",
         "region",
@@ -248,7 +249,8 @@ def repeat_spans(rows: DataFrame, length: int, staging: Staging, crowd: int = CR
     return spans
 
 
-def _cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _cut(batches: Iterator[pa.RecordBatch], spare_words: int) -> Iterator[pa.RecordBatch]:
+    """Texts without their ranges; a range under LENGTH bytes with at most ``spare_words`` words stays."""
     for batch in batches:
         row, texts, spans = batch.columns
         out = []
@@ -262,6 +264,8 @@ def _cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 else:
                     merged.append([low, high])
             for low, high in merged:
+                if spare_words and high - low < LENGTH and len(raw[low:high].split()) <= spare_words:
+                    continue
                 kept.append(raw[done:low])
                 done = high
                 removed += high - low
@@ -283,12 +287,18 @@ def _cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def remove_repeats(
-    docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", length: int = LENGTH, crowd: int = CROWD
+    docs: DataFrame,
+    id_col: str = "doc_id",
+    text_col: str = "text",
+    length: int = LENGTH,
+    crowd: int = CROWD,
+    spare_words: int = 0,
 ) -> DataFrame:
     """One row per document: ``row`` (its other columns), ``kept_text``, ``n_bytes``,
     ``n_removed``, ``n_spans`` and ``kept_sha256`` of the bytes left.
 
-    ``kept_text`` drops the fragment where a cut splits a character.
+    ``kept_text`` drops the fragment where a cut splits a character. With ``spare_words``, passages
+    under LENGTH bytes are removed only if they hold more words than that.
     """
     staging = Staging(docs.sparkSession, "repeats")
     source, _ = keyed(docs, id_col, "key", staging)
@@ -307,6 +317,6 @@ def remove_repeats(
     joined = source.join(gathered, "key", "left").select(slim.alias("row"), F.encode(text, "UTF-8").alias("text"), "spans")
     kind = joined.schema["row"].dataType.simpleString()
     return joined.mapInArrow(
-        _cut,
+        partial(_cut, spare_words=spare_words),
         f"row {kind}, kept_text string, n_bytes long, n_removed long, n_spans long, kept_sha256 string",
     )

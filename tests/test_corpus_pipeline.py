@@ -15,6 +15,19 @@ def _prose(rng, n, size=5):
     return " ".join("".join(rng.choice("abcdefghijklmnop") for _ in range(size)) for _ in range(n))
 
 
+def test_shared_passages_of_over_50_words_go(spark):
+    rng = random.Random(3)
+    for size in (4, 5):
+        shared, short = _prose(rng, 51, size), _prose(rng, 45, size)
+        assert 200 <= len(shared) < 400
+        texts = [f"{_prose(rng, 30)} {shared} {_prose(rng, 30)}" for _ in range(2)]
+        texts += [f"{_prose(rng, 30)} {short} {_prose(rng, 30)}" for _ in range(2)]
+        out = {r.doc_id: r for r in corpus_pipeline.repeat_removal(spark, _docs(spark, texts), "").collect()}
+        assert all(shared not in out[i].text and len(out[i].text) <= len(texts[i]) - len(shared) for i in (0, 1))
+        assert all(out[i].n_chars == len(out[i].text) for i in out)
+        assert [out[i].text for i in (2, 3)] == texts[2:]
+
+
 def test_near_copies_share_five_word_shingles(spark):
     rng = random.Random(4)
     words = _prose(rng, 400).split()
