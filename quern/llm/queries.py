@@ -7,8 +7,20 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quern.llm import extendible, hyperminhash, langid, licenses, nearest, packing, pieces, repeats, rollup, toxicity
-
+from quern.llm import (
+    centroids,
+    extendible,
+    hyperminhash,
+    langid,
+    licenses,
+    nearest,
+    packing,
+    pieces,
+    repeats,
+    rollup,
+    toxicity,
+    whitening,
+)
 from quern.llm.common import Staging
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -116,3 +128,13 @@ def op9_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op10_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows, _ = hyperminhash.near_components(_table(spark, sf_dir, "documents"))
     return rows.select(F.col("id").alias("doc_id"), "n_shingles", "component_id", "kept")
+
+
+@_query("op12_embedding_whitening")
+def op12_embedding_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return whitening.whiten(_table(spark, sf_dir, "embeddings"))
+
+
+@_query("op13_centroid_clustering")
+def op13_centroid_clustering(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return centroids.cluster(_table(spark, sf_dir, "embeddings"))
