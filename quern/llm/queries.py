@@ -18,6 +18,7 @@ from quern.llm import (
     pieces,
     repeats,
     rollup,
+    sitetree,
     toxicity,
     whitening,
 )
@@ -130,6 +131,12 @@ def op10_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows.select(F.col("id").alias("doc_id"), "n_shingles", "component_id", "kept")
 
 
+@_query("op11_html_extraction")
+def op11_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = sitetree.extract_main(_table(spark, sf_dir, "pages"))
+    return found.select(F.col("row.page_id").alias("page_id"), F.col("row.url").alias("url"), "text", "n_chars")
+
+
 @_query("op12_embedding_whitening")
 def op12_embedding_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
     return whitening.whiten(_table(spark, sf_dir, "embeddings"))
