@@ -7,8 +7,9 @@ import re
 import pytest
 from pyspark.sql import functions as F
 
-from quern.llm.extendible import build_directory, drop_copies, exact_groups
+from quern.llm import hyperminhash
 from quern.llm.common import Staging
+from quern.llm.extendible import build_directory, drop_copies, exact_groups
 from quern.llm.hyperminhash import drop_near_copies, near_components
 
 
@@ -113,6 +114,50 @@ def test_near_components(spark, seed):
         assert sorted(r.doc_id for r in kept.collect()) == sorted(i for i, r in want.items() if r[2])
 
 
+def edited_corpus(copies, words=200, most=7, seed=4):
+    """Copies of one text with 0 to ``most`` - 1 words replaced each, and short texts around a common passage."""
+    rng = random.Random(seed)
+    prose = lambda n: [rng.choice("abcdefgh") + str(rng.randint(0, 400)) for _ in range(n)]
+    base, texts = prose(words), []
+    for i in range(copies):
+        own = list(base)
+        for at in rng.sample(range(words), i % most):
+            own[at] = f"e{i}x{at}"
+        texts.append(" ".join(own))
+    passage = prose(12)
+    texts += [" ".join(prose(3) + passage + prose(rng.randint(1, 9))) for _ in range(copies)]
+    return list(enumerate(texts))
+
+
+def test_small_cells_and_heads_give_the_same_components(spark, monkeypatch):
+    monkeypatch.setattr(hyperminhash, "CELL", 16)
+    monkeypatch.setattr(hyperminhash, "HEAD_ROWS", 8)
+    rows = edited_corpus(150)
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    for stars, bands in ((2, 3), (0, 3), (1, 41)):
+        monkeypatch.setattr(hyperminhash, "STARS", stars)
+        monkeypatch.setattr(hyperminhash, "STAR_BANDS", bands)
+        got = {r.id: (r.n_shingles, r.component_id, r.kept) for r in near_components(docs)[0].collect()}
+        assert got == brute_near(rows)
+
+
+def test_pairs_and_links_grow_in_proportion(spark, monkeypatch):
+    written = {}
+    real = Staging.write
+
+    def counted(self, df):
+        out = real(self, df)
+        if df.columns == ["a", "b"]:
+            written.setdefault(self.root, []).append(out.count())
+        return out
+
+    monkeypatch.setattr(Staging, "write", counted)
+    for copies in (300, 600):
+        near_components(spark.createDataFrame(edited_corpus(copies), "doc_id long, text string"))[0].count()
+    small, large = written.values()
+    assert all(n <= 2 * 600 for n in large) and sum(large) <= 2.6 * sum(small)
+
+
 def test_near_null_and_repeated_ids(spark):
     text = "the quick brown fox jumps over"
     docs = spark.createDataFrame([(None, text), (7, text), (7, text.upper()), (9, "other words here now"), (None, None)], "doc_id long, text string")
