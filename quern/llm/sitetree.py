@@ -32,6 +32,7 @@ import re
 import zlib
 from collections.abc import Iterator
 
+import numpy as np
 import pyarrow as pa
 import xxhash
 from pyspark.sql import Column, DataFrame
@@ -323,13 +324,28 @@ def _tree(page: str, host: str):
     return parents, kinds, shares, places, items, texts
 
 
-_PAGE = "key long, row {row}, copy long, parents array<int>, kinds array<byte>, shares array<float>, places array<long>, items array<long>, firsts array<boolean>, texts binary"
+_PAGE = "key long, row {row}, copy long, kinds array<byte>, places array<long>, items array<long>, firsts array<boolean>, body binary"
 
 
 def _signed(value: int) -> int:
     return value - (1 << 64) if value >> 63 else value
 
 
+def _packed(parents: list[int], kinds: list[int], shares: list[float], texts: str) -> bytes:
+    """What the last step needs of a page, compressed: it is moved once."""
+    shape = np.array([len(parents), *parents], np.int32).tobytes() + np.array(kinds, np.int8).tobytes() + np.array(shares, np.float32).tobytes()
+    return zlib.compress(shape + texts.encode("utf-8", "surrogatepass"), 6)
+
+
+def _unpacked(body: bytes) -> tuple[list[int], list[int], list[float], list[str]]:
+    raw = zlib.decompress(body)
+    n = int(np.frombuffer(raw, np.int32, 1)[0])
+    parents = np.frombuffer(raw, np.int32, n, 4).tolist()
+    kinds = np.frombuffer(raw, np.int8, n, 4 + 4 * n).tolist()
+    shares = np.frombuffer(raw, np.uint8, 4 * n, 4 + 5 * n).view(np.float32).tolist()
+    return parents, kinds, shares, raw[4 + 9 * n :].decode("utf-8", "surrogatepass").split("\n")
+
+
 def _trees(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         for first in range(0, batch.num_rows, 256):
@@ -345,13 +361,13 @@ def _trees(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                     seen.add(place)
                 rows.append(
                     (
-                        key, _signed(_hash(whole)), parents, kinds, shares, list(map(_signed, places)), list(map(_signed, items)), firsts,
-                        zlib.compress(whole.encode("utf-8", "surrogatepass"), 4),
+                        key, _signed(_hash(whole)), kinds, list(map(_signed, places)), list(map(_signed, items)), firsts,
+                        _packed(parents, kinds, shares, whole),
                     )
                 )
             cols = list(zip(*rows))
-            kinds = [pa.int64(), pa.int64(), *map(pa.list_, (pa.int32(), pa.int8(), pa.float32(), pa.int64(), pa.int64(), pa.bool_())), pa.binary()]
-            names = ["key", "row", "copy", "parents", "kinds", "shares", "places", "items", "firsts", "texts"]
+            kinds = [pa.int64(), pa.int64(), *map(pa.list_, (pa.int8(), pa.int64(), pa.int64(), pa.bool_())), pa.binary()]
+            names = ["key", "row", "copy", "kinds", "places", "items", "firsts", "body"]
             arrays = [pa.array(c, k) for c, k in zip(cols, kinds)]
             yield pa.RecordBatch.from_arrays([arrays[0], part.column(3), *arrays[1:]], names=names)
 
@@ -383,9 +399,8 @@ def kept_blocks(parents, kinds, shares, found: dict[int, tuple[float, int]]) ->
 def _texts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         out = []
-        for row in zip(*(batch.column(n).to_pylist() for n in ("parents", "kinds", "shares", "texts", "found"))):
-            parents, kinds, shares, texts, found = row
-            blocks = zlib.decompress(texts).decode("utf-8", "surrogatepass").split("\n")
+        for body, found in zip(batch.column("body").to_pylist(), batch.column("found").to_pylist()):
+            parents, kinds, shares, blocks = _unpacked(body)
             kept = kept_blocks(parents, kinds, shares, {r["i"]: (r["importance"], r["styles"]) for r in found or ()})
             out.append("\n\n".join(b for b, k in zip(blocks, kept) if k))
         counts = pa.array([len(t) for t in out], pa.int64())
@@ -438,5 +453,5 @@ def extract_main(pages: DataFrame, id_col: str = "page_id", url_col: str = "url"
     kind = given.schema["row"].dataType.simpleString()
     trees = staging.write(given.mapInArrow(_trees, _PAGE.format(row=kind)))
     found = _importances(trees.select("key", "copy", "places", "items", "firsts", "kinds"), staging)
-    joined = trees.select("key", "row", "parents", "kinds", "shares", "texts").join(found, "key", "left")
+    joined = trees.select("key", "row", "body").join(found, "key", "left")
     return joined.mapInArrow(_texts, f"row {kind}, text string, n_chars long")
