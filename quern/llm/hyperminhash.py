@@ -309,8 +309,8 @@ def _star_checked(pairs: DataFrame, sets: DataFrame) -> DataFrame:
     shares = F.ceil(F.col("size") / HEAD_ROWS)
     heads = pairs.groupBy("a").agg(F.count(F.lit(1)).alias("size"))
     placed = join_groups(pairs, heads, "a", "size").select("a", "b", F.pmod(F.xxhash64("b"), shares).alias("salt"))
-    members = placed.join(sets.select(F.col("node").alias("b"), "hashes"), "b").select("a", "salt", "b", "hashes")
-    own = heads.join(sets.select(F.col("node").alias("a"), "hashes"), "a")
+    members = placed.join(sets.select(F.col("node").alias("b"), "hashes").hint("merge"), "b").select("a", "salt", "b", "hashes")
+    own = heads.join(sets.select(F.col("node").alias("a"), "hashes").hint("merge"), "a")
     own = own.select("a", F.explode(F.sequence(F.lit(0).cast("long"), shares - 1)).alias("salt"), F.lit(None).cast("long").alias("b"), "hashes")
     dealt = members.unionByName(own).repartition("a", "salt").sortWithinPartitions("a", "salt", "b")
     return dealt.mapInArrow(_star_links, "a long, b long")
@@ -365,7 +365,7 @@ def near_components(
     shared = banded.groupBy("band").agg(F.count(F.lit(1)).alias("size")).where("size > 1")
     members = staging.write(banded.join(shared, "band"))
     weights = members.groupBy("node").agg(F.sum(F.round(F.log2("size") * 1024).cast("long")).alias("weight"))
-    sets = texts.join(weights.select(F.col("node").alias("key")), "key", "left_semi").select("key", "text")
+    sets = texts.join(weights.select(F.col("node").alias("key")).hint("merge"), "key", "left_semi").select("key", "text")
     sets = staging.write(sets.mapInArrow(partial(_sets, shingle=shingle), "node long, hashes binary, bits binary"))
     members = staging.write(members.drop("size").join(weights, "node"))
     placed, tried = members.withColumn("part", F.col("node")), None
@@ -377,12 +377,12 @@ def near_components(
         parts = components(links, staging)
         placed = members.join(parts.withColumnRenamed("component", "part"), "node", "left")
         placed = placed.withColumn("part", F.coalesce("part", "node"))
-    known = sets.select("node", "bits").join(nodes.select("node", "registers"), "node")
-    cells = _dealt(placed).join(known, "node").select(*(c.split()[0] for c in _CELL.split(", ")), "bits")
+    known = sets.select("node", "bits").join(nodes.select("node", "registers").hint("merge"), "node")
+    cells = _dealt(placed).join(known.hint("merge"), "node").select(*(c.split()[0] for c in _CELL.split(", ")), "bits")
     cells = cells.repartition("band", "cell").sortWithinPartitions("band", "cell")
     schema = to_arrow_schema(StructType.fromDDL(_CELL))
     flagged = staging.write(cells.mapInArrow(partial(_flagged, schema=schema), _CELL))
-    whole = flagged.join(sets.select("node", "bits", "hashes"), "node").select(*flagged.columns, "bits", "hashes")
+    whole = flagged.join(sets.select("node", "bits", "hashes").hint("merge"), "node").select(*flagged.columns, "bits", "hashes")
     whole = whole.repartition("band", "cell").sortWithinPartitions("band", "cell")
     links = links.unionByName(staging.write(whole.mapInArrow(_connecting, "a long, b long")))
     parts = components(links, staging)
