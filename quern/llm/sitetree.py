@@ -12,7 +12,8 @@
    pages (1 if it has fewer than MIN_PAGES). Of a block: 1 less the entropy of its content,
    log k / log m for content that k of m pages have. The composite importance of an element
    on a page is (1 - GAMMA**l) times its own plus GAMMA**l times the mean of its children's,
-   for l styles. Outside the article, blocks count by their share of text that is no link.
+   for l styles; elements that cannot go as a branch (the page, its body and article, and the
+   paragraphs of an article) have the mean of their children's. Outside the article, blocks count by their share of text that is no link.
 4. A branch (an element other than the page's body and article) of a composite importance
    below NOISE is removed, and outside an article every such block too. An article or main
    element, where the page has one, bounds the text; its own blocks stay.
@@ -381,6 +382,8 @@ def kept_blocks(parents, kinds, shares, found: dict[int, tuple[float, int]]) ->
         own, styles = found.get(i, (1.0, 1))
         if kinds[i] >= 2:
             composite[i] = own * (1 - shares[i]) if kinds[i] == 3 else own
+        elif members[i] and kinds[i] == 1:
+            composite[i] = total[i] / members[i]
         elif members[i]:
             weight = GAMMA**styles
             composite[i] = (1 - weight) * own + weight * total[i] / members[i]
@@ -411,8 +414,9 @@ def _importances(trees: DataFrame, staging: Staging) -> DataFrame:
     """(key, found): for every page the nodes whose importance is not 1, with that and their number of styles."""
     listed = F.arrays_zip("places", "items", "firsts", "kinds")
     nodes = trees.select("key", "copy", F.posexplode(listed).alias("i", "e")).select(
-        "key", "copy", "i", F.col("e.places").alias("place"), F.col("e.items").alias("item"), F.col("e.firsts").alias("first"), (F.col("e.kinds") >= 2).alias("block")
+        "key", "copy", "i", F.col("e.places").alias("place"), F.col("e.items").alias("item"), F.col("e.firsts").alias("first"), "e.kinds"
     )
+    nodes = nodes.where("kinds != 1").withColumn("block", F.col("kinds") >= 2)
     # Pages with the same text are one page of the site tree.
     once = nodes.groupBy("place", "item", "copy").agg(F.max(F.col("first").cast("long")).alias("first"), F.any_value("block").alias("block"))
     items = staging.write(once.groupBy("place", "item").agg(F.count(F.lit(1)).alias("k"), F.sum("first").alias("first"), F.any_value("block").alias("block")))
