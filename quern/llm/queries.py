@@ -100,7 +100,7 @@ def op5_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 @_query("op6_repeat_removal")
 def op6_repeat_removal(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = repeats.remove_repeats(_table(spark, sf_dir, "documents"))
-    return found.select(F.col("row.doc_id").alias("doc_id"), "n_bytes", "n_removed", "n_spans", "kept_sha256")
+    return found.select(F.col("row.doc_id").alias("doc_id"), "n_bytes", "n_removed", "n_spans", "kept_sha256", "kept_text")
 
 
 @_query("op7_best_fit_packing")

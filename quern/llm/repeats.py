@@ -37,6 +37,7 @@ from pyspark.sql import functions as F
 from quern.llm.bwt import repeated_starts
 from quern.llm.common import Staging, keyed
 from quern.llm.kernels import gram_hashes, signed, sliding_minimum, text_slices
+from quern.operators.skew import join_groups
 
 LENGTH = 400
 GRAM = 64
@@ -46,6 +47,8 @@ CROWD = 16_384
 BLOCK_SYMBOLS = 1 << 18
 # Texts longer than this are searched in chunks that overlap by LENGTH - 1 bytes.
 CHUNK = 1 << 23
+# Anchors and regions with this many places are not shuffled by their hash.
+HOT_ROWS = 10_000
 _PLACE = np.uint64((1 << 24) - 1)
 
 _ANCHOR = "key long, anchor long, region long, start long, size int, offset int"
@@ -186,19 +189,24 @@ def _compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield solve(held)
 
 
+def _met(rows: DataFrame, groups: DataFrame, key: str, size: str) -> DataFrame:
+    """``rows`` joined to one row per key; a key of HOT_ROWS rows or more does not meet in one task."""
+    return join_groups(rows, groups, key, size, hot_rows=HOT_ROWS, max_keys=1_000)
+
+
 def repeat_spans(rows: DataFrame, length: int, staging: Staging, crowd: int = CROWD) -> DataFrame:
     """(key, low, high): byte ranges of the texts of ``rows`` (key, text) that repeat."""
     anchors = staging.write(rows.select("key", F.coalesce("text", F.lit("")).alias("text")).mapInArrow(_anchors(length), _ANCHOR))
-    often = anchors.groupBy("anchor").agg(F.count(F.lit(1)).alias("_n")).where("_n > 1").select("anchor")
-    kept = staging.write(anchors.join(often, "anchor"))
+    often = staging.write(anchors.groupBy("anchor").agg(F.count(F.lit(1)).alias("_n")).where("_n > 1"))
+    kept = staging.write(_met(anchors, often, "anchor", "_n").drop("_n"))
     staging.drop(anchors)
     regions = kept.groupBy("anchor", "region").agg(
         F.count(F.lit(1)).alias("n"), F.min(F.struct("key", "start", "size", "offset")).alias("one")
     )
     regions = staging.write(regions)
-    several = regions.groupBy("anchor").agg(F.count(F.lit(1)).alias("_d")).where("_d > 1").select("anchor")
+    several = staging.write(regions.groupBy("anchor").agg(F.count(F.lit(1)).alias("_d")).where("_d > 1"))
     listed = (
-        regions.join(several, "anchor")
+        _met(regions, several, "anchor", "_d")
         .select(F.col("one.key").alias("key"), F.struct("anchor", "region", "n", "one.start", "one.size", "one.offset").alias("r"))
         .groupBy("key")
         .agg(F.collect_list("r").alias("regions"))
@@ -240,12 +248,16 @@ def repeat_spans(rows: DataFrame, length: int, staging: Staging, crowd: int = CR
     )
     entire = regions.where("n > 1").select("anchor", "region", F.lit(0).alias("low"), F.col("one.size").alias("high"))
     spans = within.unionByName(entire)
+    # One row per region: its ranges, no more than it has windows, and the number of places it stands at.
+    ranges = spans.groupBy("anchor", "region").agg(F.collect_set(F.struct("low", "high")).alias("ranges"))
+    ranges = ranges.join(regions.select("anchor", "region", "n"), ["anchor", "region"])
+    ranges = staging.write(ranges.select(F.struct("anchor", "region").alias("at"), "ranges", "n"))
+    places = _met(kept.select(F.struct("anchor", "region").alias("at"), "key", "start"), ranges, "at", "n")
+    places = places.select("key", "start", F.explode("ranges").alias("r"))
     spans = staging.write(
-        kept.join(spans, ["anchor", "region"]).select(
-            "key", (F.col("start") + F.col("low")).alias("low"), (F.col("start") + F.col("high")).alias("high")
-        )
+        places.select("key", (F.col("start") + F.col("r.low")).alias("low"), (F.col("start") + F.col("r.high")).alias("high"))
     )
-    staging.drop(kept, regions, pieces, flanks, mixed, found)
+    staging.drop(kept, often, regions, several, pieces, flanks, mixed, found, ranges)
     return spans
 
 
