@@ -113,3 +113,44 @@ def test_wrapped_notices(spark, before):
         assert label in found[i].labels.split(",") and found[i].score >= 0.8
     plain = spark.createDataFrame([(1, "no notice\nat all in\nthese lines\n" * 40)], "doc_id long, text string")
     assert [(r.n_words, r.labels, r.score) for r in scan_licenses(plain).collect()] == [(280, "", 0.0)]
+
+
+LABELS = [
+    ("Licensed under CC BY-NC 4.0.", "cc-by,cc-by-nc-4.0"),
+    ("Licensed under CC BY-SA 4.0.", "cc-by,cc-by-sa-4.0"),
+    ("Licensed under CC BY-NC-SA 4.0.", "cc-by"),
+    ("Released under the BSD License.", ""),
+    ("Released under the Apache License.", "apache"),
+    ("Released under the\n# MIT License.", "mit,mit-notice"),
+    ("Licensed under the MIT License, Version 2.0", "mit"),
+    ("Our new album was released\nlast week under a deal with the mit press\nand a license.", ""),
+    ("This work is licensed\nunder a Creative Commons Attribution 4.0 International License", "cc-by-4.0"),
+    ("This work is licensed under a Creative Commons Attribution-NonCommercial 4.0 International License", ""),
+    ("text before. All rights reserved.\ntext", "proprietary"),
+    ("all the seats are reserved and rights do not come into it", ""),
+    ("GNU Lesser General Public License, version 3: this work is licensed under the", ""),
+    ("This work is licensed under the GNU General Public\n * License, version 3.", "gpl,gpl-3.0"),
+]
+
+
+def test_labels_need_their_telling_words_close_together(spark):
+    docs = spark.createDataFrame([(i, t) for i, (t, _) in enumerate(LABELS)], "doc_id long, text string")
+    found = {r.doc_id: r.labels for r in scan_licenses(docs).collect()}
+    assert [found[i] for i in range(len(LABELS))] == [want for _, want in LABELS]
+    db = duckdb.connect()
+    db.execute("CREATE TABLE documents (doc_id BIGINT, text VARCHAR)")
+    db.executemany("INSERT INTO documents VALUES (?, ?)", [(i, t) for i, (t, _) in enumerate(LABELS)])
+    assert {r[0]: r[6] for r in db.execute(licenses_sql()).fetchall()} == found
+
+
+def test_given_documents_against_sql(spark):
+    path = "/root/testdata/sf0.1/documents.parquet"
+    got = sorted(tuple(r) for r in scan_licenses(spark.read.parquet(path)).collect())
+    db = duckdb.connect()
+    db.execute(f"CREATE VIEW documents AS SELECT * FROM read_parquet('{path}')")
+    assert got == sorted(db.execute(licenses_sql()).fetchall())
+    labels = {label for r in got for label in r[6].split(",")}
+    assert "cc-by-nc-4.0" in labels and "cc-by-sa-4.0" not in labels
+    assert not [r for r in got if "mit-notice" in r[6] and "mit" not in r[5].split(",")]
+    reserved = db.execute("SELECT count(*) FROM documents WHERE text LIKE '%All rights reserved.%'").fetchall()[0][0]
+    assert sum("proprietary" in r[6] for r in got) >= reserved > 0
