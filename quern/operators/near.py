@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from quern.functions.hashing import hamming
@@ -44,6 +44,17 @@ def _narrower(mask: int, parts: int) -> list[int]:
     return [mask | sum(1 << b for b in free[lo:hi]) for lo, hi in zip(cuts, cuts[1:])]
 
 
+def bit_groups(parts: int) -> list[tuple[int, int]]:
+    """The 64 bits in ``parts`` groups [low, high)."""
+    cuts = [64 * i // parts for i in range(parts + 1)]
+    return list(zip(cuts, cuts[1:]))
+
+
+def pinned(fp: Column, low: int, high: int) -> Column:
+    """The bits [low, high) of a fingerprint, others zero."""
+    return fp.bitwiseAND(F.lit(_signed(sum(1 << b for b in range(low, high)))).cast("long"))
+
+
 def _compare(keyed: DataFrame, max_distance: int, cells: bool = False) -> DataFrame:
     """Pairs within a bucket (mask, pin).
 

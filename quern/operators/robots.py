@@ -112,29 +112,50 @@ def rules_for_agent(entries: DataFrame, agent: str) -> DataFrame:
     )
 
 
+def prefix_rules(rules: DataFrame) -> DataFrame:
+    """(host, prefix, at, allow): every rule path of a host once, at its first line; ``*`` matches all."""
+    every = rules.select("host", F.posexplode("rules").alias("at", "rule"))
+    prefix = F.when(F.col("rule.path") == "*", "").otherwise(F.col("rule.path"))
+    first = F.min_by(F.col("rule.allow"), F.col("at")).alias("allow")
+    return every.groupBy("host", prefix.alias("prefix")).agg(F.min("at").alias("at"), first)
+
+
+def forbidden_urls(urls: DataFrame, rules: DataFrame, url: str = "url", hot_rows: int = HOT_ROWS) -> DataFrame:
+    """The distinct URLs that may not be fetched, as column ``url``.
+
+    A URL's path becomes its prefixes of the lengths that the host's rules have, and
+    those meet the rules by equality on (host, prefix): the cost is the number of
+    lengths, not of rules. The first rule by line decides. A prefix that very many
+    URLs share (``/`` of a large host) does not meet in one task.
+    """
+    parts = urls.select(F.col(url).alias("url")).where("url IS NOT NULL").distinct()
+    parts = parts.withColumn("host", netloc(F.col("url"))).withColumn("path", canonical_path(_path(F.col("url"))))
+    given = stage(prefix_rules(rules), "prefixes")
+    lengths = given.groupBy("host").agg(F.array_sort(F.collect_set(F.length("prefix"))).alias("lengths"))
+    hosts = parts.groupBy("host").agg(F.count(F.lit(1)).alias("n"))
+    known = stage(hosts.join(lengths, "host"), "lengths")
+    # At most one length per character of the longest path.
+    weight = 8 * F.size("lengths").cast("long") + 64
+    sized = join_groups(parts, known, "host", "n", hot_rows, MAX_BROADCAST_HOSTS, weight)
+    met = sized.select("url", "host", "path", F.explode(F.filter("lengths", lambda x: x <= F.length("path"))).alias("length"))
+    prefix = F.struct("host", F.expr("left(path, length)").alias("prefix")).alias("place")
+    prefixes = stage(met.select("url", prefix), "places")
+    counts = prefixes.groupBy("place").agg(F.count(F.lit(1)).alias("n"))
+    ruled = given.select(F.struct("host", "prefix").alias("place"), "at", "allow").join(counts, "place")
+    matched = join_groups(prefixes, stage(ruled, "ruled"), "place", "n", hot_rows)
+    verdicts = matched.groupBy("url").agg(F.min_by("allow", "at").alias("allow"))
+    return verdicts.where(~F.col("allow")).select("url")
+
+
 def robots_filter(
     urls: DataFrame, rules: DataFrame, url: str = "url", hot_rows: int = HOT_ROWS
 ) -> DataFrame:
     """Rows whose URL may be fetched. A host without rules allows everything.
 
-    The first rule whose path is a prefix of the URL's path decides.
+    The first rule whose path is a prefix of the URL's path decides. A row without a URL goes.
     """
-    parts = urls.withColumn("_host", netloc(F.col(url))).withColumn(
-        "_path", canonical_path(_path(F.col(url)))
-    )
-    hosts = parts.groupBy("_host").agg(F.count(F.lit(1)).alias("_urls"))
-    known = stage(
-        hosts.join(rules.withColumnRenamed("host", "_host"), "_host", "left"), "robots"
-    )
-    weight = F.aggregate(
-        F.coalesce("rules", F.array().cast(_RULES)),
-        F.lit(0).cast("long"),
-        lambda total, rule: total + 32 + F.coalesce(F.octet_length(rule["path"]), F.lit(0)),
-    )
-    joined = join_groups(parts, known, "_host", "_urls", hot_rows, MAX_BROADCAST_HOSTS, weight)
-    matching = F.expr("filter(rules, r -> r.path = '*' OR startswith(_path, r.path))")
-    verdict = F.coalesce(F.try_element_at(matching, F.lit(1))["allow"], F.lit(True))
-    return joined.where(verdict).select(*urls.columns)
+    forbidden = forbidden_urls(urls, rules, url, hot_rows).withColumnRenamed("url", "_forbidden")
+    return urls.where(F.col(url).isNotNull()).join(forbidden, F.col(url) == F.col("_forbidden"), "left_anti")
 
 
 def _path(url: Column) -> Column:

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
@@ -10,17 +10,9 @@ from quern.functions.text import clean_text
 from quern.operators.filters import MIN_CLEAN_CHARS
 from quern.operators.near import MAX_DISTANCE
 from quern.operators.outcomes import Decisions, record_traits
-from quern.session import exists
-
-_STATE = "key binary, seq long, fp long, batch long"
-
-
-def _kept_before(spark: SparkSession, state: str, batch: int) -> DataFrame:
-    """Texts kept by earlier batches; a replayed batch does not see itself."""
-    if not exists(spark, state):
-        return spark.createDataFrame([], _STATE).drop("batch")
-    return spark.read.schema(_STATE).parquet(state).where(F.col("batch") < batch).drop("batch")
+from quern.session import stage
 
+from .state import BUCKET_BITS, FingerprintState
 
 def prepare_stream(
     docs: DataFrame,
@@ -32,26 +24,30 @@ def prepare_stream(
     min_chars: int = MIN_CLEAN_CHARS,
     max_distance: int = MAX_DISTANCE,
     family: str = "blake2b",
+    bucket_bits: int = BUCKET_BITS,
     **trigger,
 ) -> StreamingQuery:
     """Start preparing a stream of documents; returns the running query.
 
     ``order`` must be unique and grow from batch to batch; then the result equals
-    that of the batch job over all documents. The state holds one narrow row
-    (digest, order, fingerprint) per kept text. Every batch owns one partition
-    of ``output`` and ``state`` and replaces it when it is run again, so a
-    restart neither loses nor doubles records.
+    that of the batch job over all documents. The state (``FingerprintState``) holds
+    narrow rows (digest, order, fingerprint) by bucket; a batch reads the buckets of
+    its own fingerprints. An equal text has an equal fingerprint, so that is where its
+    digest is. Every batch owns one folder of ``output`` and ``state`` and replaces it
+    when it is run again, so a restart neither loses nor doubles records.
     """
 
     def prepare_batch(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
-        known = _kept_before(spark, state, batch_id)
-        traits = record_traits(batch, order, text, min_chars, family)
+        kept_before = FingerprintState(spark, state, max_distance, bucket_bits)
+        kept_before.compact(batch_id)
+        traits = stage(record_traits(batch, order, text, min_chars, family), "batch")
+        known = stage(kept_before.known(traits.where("fp IS NOT NULL"), batch_id), "known")
         decisions = Decisions(traits, max_distance, known)
         kept = decisions.kept().withColumnRenamed("seq", order)
         rows = batch.join(kept, order, "left_semi").withColumn(text, clean_text(F.col(text)))
         rows.write.mode("overwrite").parquet(f"{output}/batch={batch_id}")
-        decisions.kept_texts().write.mode("overwrite").parquet(f"{state}/batch={batch_id}")
+        kept_before.commit(decisions.kept_texts(), batch_id)
 
     return (
         docs.writeStream.foreachBatch(prepare_batch)
