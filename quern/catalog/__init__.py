@@ -32,4 +32,4 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 def load() -> None:
     """Import every module that registers queries."""
-    from quern.catalog import dedup, evals, files, hygiene, pages, streams, text  # noqa: F401
+    from quern.catalog import dedup, evals, files, hygiene, pages, runs, streams, text  # noqa: F401

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from functools import reduce
 from itertools import product
 from urllib.parse import urlparse
@@ -48,11 +49,18 @@ def discover(
 
     Ranks are the order in which a single queue would find the URLs: by the
     parent's rank, then by link position. ``max_pages`` bounds the number of
-    URLs found, including the start. Levels are written to one folder, so the
-    set of seen URLs is always one table and a lost executor costs no level.
+    URLs found, including the start. Links are written once, bucketed by their
+    page: a level moves its own rows to the buckets and never the links. Levels
+    are written to one folder, so the set of seen URLs is always one table and
+    a lost executor costs no level.
     """
     spark = edges.sparkSession
-    edges = stage(edges.select("url", "pos", "dst"), "links")
+    buckets = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    name = f"quern_links_{uuid.uuid4().hex}"
+    # Hash partitions are the buckets, so every task writes one file.
+    placed = edges.select("url", "pos", "dst").repartition(buckets, "url").write
+    placed.option("path", scratch_path(spark, "links")).bucketBy(buckets, "url").saveAsTable(name)
+    links = spark.table(name)
     folder = scratch_path(spark, "seen")
 
     def level_table(depth: int, rows: DataFrame) -> tuple[DataFrame, int]:
@@ -66,9 +74,7 @@ def discover(
     level, found = level_table(0, start)
     depth = 0
     while (max_pages is None or found < max_pages) and (max_depth is None or depth < max_depth):
-        seen = spark.read.schema(_SEEN).parquet(folder)
-        links = level.select("url", "rank").join(edges, "url")
-        fresh = frontier_anti(links, seen, ["rank", "pos"])
+        fresh = next_level(level, links, spark.read.schema(_SEEN).parquet(folder))
         ordered = fresh.select(F.col("dst").alias("url"), F.col("rank").alias("parent"), "pos")
         room = max_pages - found if max_pages else None
         if room:
@@ -80,15 +86,30 @@ def discover(
         found += added
         if not added:
             break
+    # Only the name goes; the files stay until the scratch area is dropped.
+    spark.sql(f"DROP TABLE {name}")
     return spark.read.schema(_SEEN).parquet(folder).select("url", "rank", "depth")
 
 
+def next_level(level: DataFrame, links: DataFrame, seen: DataFrame) -> DataFrame:
+    """(dst, rank, pos) of the URLs that ``level`` links to and ``seen`` does not hold."""
+    found = level.select("url", "rank").join(links, "url")
+    return frontier_anti(found, seen, ["rank", "pos"])
+
+
 def _site(pages: DataFrame, on_site: Column, rules: DataFrame | None, order: tuple[str, ...]) -> DataFrame:
     """(url, html) of the site: of a URL stored more than once, the first page by
     ``order`` that is not empty, equal places by the smallest markup."""
     mine = pages.where(on_site & (F.coalesce("html", F.lit("")) != ""))
     mine = robots_filter(mine, rules) if rules is not None else mine
-    return mine.groupBy("url").agg(F.min(F.struct(*order, "html")).alias("_first")).select("url", "_first.html")
+    # Narrow rows tell which URLs are stored more than once; only the markup of
+    # those is grouped, and of it only what stands at the first place.
+    place = F.struct(*order) if order else F.lit(0)
+    stored = mine.groupBy("url").agg(F.count(F.lit(1)).alias("_rows"), F.min(place).alias("_first"))
+    again = stage(stored.where(F.col("_rows") > 1), "stored")
+    once = mine.join(again.select("url"), "url", "left_anti").select("url", "html")
+    firsts = mine.join(again, "url").where(place.eqNullSafe(F.col("_first")))
+    return once.unionByName(firsts.groupBy("url").agg(F.min("html").alias("html")))
 
 
 def _may_be_on(host: str) -> Column:
