@@ -4,7 +4,9 @@ Words are mapped to symbols: insult, threat, target, negation, report, other. Fo
 small transducers read the symbols of a clause: the first writes a match for every
 insult or threat, the others say whether it is aimed at a target, negated or
 reported speech. Composed, they are one machine that writes, for each match of a
-clause, its kind. A document's score is logistic in what its clauses matched.
+clause, its kind. A second machine reads the clause from its end, so a target may
+also follow the match. A colon does not end a clause: what it introduces is still
+reported. A document's score is logistic in what its clauses matched.
 
 Insults are a fixed list of common ones and what the labelled texts teach: words
 and word beginnings that toxic documents hold far more often than chance allows
@@ -53,7 +55,7 @@ SYMBOLS = range(6)
 REACH = {NEGATION: 3, REPORT: 6, TARGET: 4}
 
 _WORD = re.compile(r"[^\W\d_]+")
-_PART = re.compile(r"[^\W\d_]+|[.!?;:\n]")
+_PART = re.compile(r"[^\W\d_]+|[.!?;\n]")
 
 
 @dataclass(frozen=True)
@@ -97,6 +99,11 @@ def grammar() -> Machine:
     return machine
 
 
+def targets_ahead() -> Machine:
+    """Reads a clause from its end; writes (symbol, target follows) for each match."""
+    return compose(matcher(), scope(TARGET, REACH[TARGET]))
+
+
 # Kinds of clause match: threat or insult, each plain, targeted, negated or reported.
 KINDS = 8
 FEATURES = KINDS + 2
@@ -115,6 +122,7 @@ class Scorer:
         self.words = {w: v for w, v in lexicon.items() if not w.endswith("*")}
         self.beginnings = {w[:-1]: v for w, v in lexicon.items() if w.endswith("*")}
         self.machine = grammar()
+        self.ahead = targets_ahead()
         self.known: dict[str, tuple[int, float]] = {}
         self.fixed = {}
         for symbol, words in ((TARGET, TARGETS), (NEGATION, NEGATIONS), (REPORT, REPORTS), (THREAT, THREATS), (INSULT, INSULTS)):
@@ -138,6 +146,22 @@ class Scorer:
             self.known[word] = found
         return found
 
+    def matches(self, clause: list[int]) -> list[tuple]:
+        """(insult or threat, negated, reported, targeted) for each match, from both directions."""
+        if INSULT not in clause and THREAT not in clause:
+            return []
+        state, before = 0, []
+        for found in clause:
+            state, written = self.machine.arcs[state, found]
+            if written:
+                before.append(written)
+        state, after = 0, []
+        for found in reversed(clause):
+            state, written = self.ahead.arcs[state, found]
+            if written:
+                after.append(written[1])
+        return [(*match[:3], match[3] or ahead) for match, ahead in zip(before, reversed(after))]
+
     def features(self, text: str) -> np.ndarray | None:
         """None where nothing matches."""
         text = text.lower()
@@ -146,19 +170,20 @@ class Scorer:
             return None
         kinds = np.zeros(KINDS)
         heaviest = total = 0.0
-        state, words = 0, 0
-        for part in _PART.findall(text):
-            if part in ".!?;:\n":
-                state = 0
+        words = 0
+        clause: list[int] = []
+        for part in [*_PART.findall(text), "."]:
+            if part in ".!?;\n":
+                for match in self.matches(clause):
+                    kinds[_kind(match)] += 1
+                clause.clear()
                 continue
             words += 1
             found, weight = symbol(part)
-            state, written = self.machine.arcs[state, found]
-            if written:
-                kinds[_kind(written)] += 1
-                if found == INSULT:
-                    heaviest = max(heaviest, weight)
-                    total += weight
+            clause.append(found)
+            if found == INSULT:
+                heaviest = max(heaviest, weight)
+                total += weight
         return np.concatenate([np.log1p(kinds), [heaviest / 4, math.log1p(100 * total / (words + 20))]])
 
 

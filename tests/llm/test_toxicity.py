@@ -1,5 +1,6 @@
 """Toxicity: the composed grammar, held-out accuracy and defined cases."""
 
+import random
 import zlib
 
 import numpy as np
@@ -21,6 +22,36 @@ def test_grammar():
     assert kinds("she wrote idiot") == [0, 0, 0, 1, 0, 0, 0, 0]
     assert kinds("not here. idiot") == [1, 0, 0, 0, 0, 0, 0, 0]
     assert kinds("you die, we kill") == [0, 0, 0, 0, 0, 1, 0, 0]
+    # Reported speech after a colon, and targets that follow.
+    assert kinds("He said: you are an idiot") == [0, 0, 0, 1, 0, 0, 0, 0]
+    assert kinds("Sagte er: dummkopf") == [0, 0, 0, 1, 0, 0, 0, 0]
+    assert kinds("idiot, get lost you") == [0, 1, 0, 0, 0, 0, 0, 0]
+    assert kinds("idiot. you left") == [1, 0, 0, 0, 0, 0, 0, 0]
+    assert kinds("idiot one two three four you") == [1, 0, 0, 0, 0, 0, 0, 0]
+
+
+def test_composed_machine_equals_a_plain_matcher():
+    """Random clauses against the rule written out over positions."""
+    rng = random.Random(5)
+    words = {tox.OTHER: "day", tox.INSULT: "idiot", tox.THREAT: "kill", tox.TARGET: "you", tox.NEGATION: "not", tox.REPORT: "said"}
+    for _ in range(500):
+        clauses = [[rng.choice([0, 0, 0, 1, 2, 3, 4, 5]) for _ in range(rng.randint(0, 14))] for _ in range(rng.randint(1, 3))]
+        want = [0] * tox.KINDS
+        for clause in clauses:
+            for i, symbol in enumerate(clause):
+                if symbol not in (tox.INSULT, tox.THREAT):
+                    continue
+                near = {t: t in clause[max(0, i - reach) : i] for t, reach in tox.REACH.items()}
+                aimed = near[tox.TARGET] or tox.TARGET in clause[i + 1 : i + 1 + tox.REACH[tox.TARGET]]
+                kind = 2 if near[tox.NEGATION] else 3 if near[tox.REPORT] else 1 if aimed else 0
+                want[4 * (symbol == tox.THREAT) + kind] += 1
+        text = rng.choice([". ", "!", "\n"]).join(" ".join(words[s] for s in c) for c in clauses)
+        assert kinds(text) == (want if any(want) else []), text
+
+
+def test_very_long_text():
+    found = tox.Scorer({}).features("a calm word " * 400_000 + ". you are an idiot")
+    assert round(np.expm1(found[1])) == 1 and found[: tox.KINDS].sum() == found[1]
 
 
 def test_learned_beginnings():
