@@ -4,8 +4,9 @@ All steps are DataFrame operations. A directory maps the upper bits of a text's
 64-bit hash to a bucket. It starts at the depth that gives buckets of the wanted
 capacity on average; where a bucket is overfull the directory doubles for it, so
 it splits by one more bit, until every bucket fits. The index is written to the
-shared folder in bucket order, so that each task owns a range of keys. Within a
-bucket, texts with the same hash form chains: the row with the largest id is
+shared folder in bucket order, so that each task owns a range of keys. A row looks
+its bucket up in the directory and meets the index entries of that bucket only.
+Within a bucket, texts with the same hash form chains: the row with the largest id is
 compared byte by byte with the others, and those that differ form the next chain.
 
 Copies never meet in one task: counts are combined on the map side, and the
@@ -85,46 +86,51 @@ def exact_groups(
         narrow.groupBy("hash").agg(F.count(F.lit(1)).alias("n"), F.max(F.struct("id", "key")).alias("head"))
     )
     directory, depth = build_directory(groups.select("hash"), staging, capacity)
-    cell = F.shiftrightunsigned("hash", 64 - depth)
+    cell = F.shiftrightunsigned("hash", 64 - depth).alias("cell")
+    # Directory cells that hold chains, with all their rows, which a hot cell has many of.
+    cells = groups.groupBy(cell).agg(F.sum("n").alias("rows"), F.max("n").alias("longest")).where("longest > 1")
+    routes = staging.write(cells.join(directory.select("cell", "bucket"), "cell").select("cell", "bucket", "rows"))
     # The index: entries in bucket order, one range of keys per task.
+    entry = F.struct("bucket", "hash").alias("entry")
     index = staging.write(
         groups.where("n > 1")
         .withColumn("cell", cell)
-        .join(directory.select("cell", "bucket"), "cell")
-        .select("bucket", "hash", "n", "head.key")
-        .repartitionByRange("bucket")
-        .sortWithinPartitions("bucket", "hash")
+        .join(routes, "cell")
+        .select(entry, "n", F.col("head.key").alias("head"))
+        .repartitionByRange("entry")
+        .sortWithinPartitions("entry")
     )
+    routed = join_groups(narrow.select("key", "id", "hash", cell), routes, "cell", "rows").select("key", "id", entry)
     salts = F.ceil(F.col("n") / SALT_ROWS).cast("int")
     open_rows = staging.write(
-        join_groups(narrow, index.select("hash", "n", F.col("key").alias("head")), "hash", "n").select(
-            "key", "id", "hash", F.pmod(F.xxhash64("key"), salts.cast("long")).alias("salt"), salts.alias("salts"), "head"
+        join_groups(routed, index, "entry", "n").select(
+            "key", "id", "entry", F.pmod(F.xxhash64("key"), salts.cast("long")).alias("salt"), salts.alias("salts"), "head"
         )
     )
     texts = staging.write(
-        source.select("key", text.alias("text")).join(open_rows.select("key", "hash", "salt").hint("merge"), "key")
+        source.select("key", text.alias("text")).join(open_rows.select("key", "entry", "salt").hint("merge"), "key")
     )
     chained = None
     while True:
         heads = open_rows.where("key = head").select("key", "salts").hint("merge")
-        heads = heads.join(texts.select("key", "hash", "text"), "key")
+        heads = heads.join(texts.select("key", "entry", "text"), "key")
         heads = heads.select(
-            F.explode(F.sequence(F.lit(0).cast("long"), F.col("salts").cast("long") - 1)).alias("salt"), "hash", F.col("key").alias("head"), F.col("text").alias("head_text")
+            F.explode(F.sequence(F.lit(0).cast("long"), F.col("salts").cast("long") - 1)).alias("salt"), "entry", F.col("key").alias("head"), F.col("text").alias("head_text")
         )
         waiting = texts.join(open_rows.select("key"), "key", "left_semi") if chained is not None else texts
         compared = staging.write(
-            waiting.join(heads.hint("merge"), ["hash", "salt"]).select("key", "head", (F.col("text") == F.col("head_text")).alias("same"))
+            waiting.join(heads.hint("merge"), ["entry", "salt"]).select("key", "head", (F.col("text") == F.col("head_text")).alias("same"))
         )
         equal = compared.where("same").select("key", F.col("head").alias("keep_key"))
         chained = equal if chained is None else chained.unionByName(equal)
         differ = compared.where("not same").select("key")
         if differ.isEmpty():
             break
-        # Collision: the rest of the hash's rows make the next chain.
+        # Collision: the rest of the entry's rows make the next chain.
         left = open_rows.join(differ, "key").drop("head")
-        nexts = left.groupBy("hash").agg(F.max(F.struct("id", "key")).alias("_h"), F.count(F.lit(1)).alias("n"))
-        nexts = nexts.select("hash", "n", F.col("_h.key").alias("head"))
-        open_rows = staging.write(join_groups(left, nexts, "hash", "n").drop("n"))
+        nexts = left.groupBy("entry").agg(F.max(F.struct("id", "key")).alias("_h"), F.count(F.lit(1)).alias("n"))
+        nexts = nexts.select("entry", "n", F.col("_h.key").alias("head"))
+        open_rows = staging.write(join_groups(left, nexts, "entry", "n").drop("n"))
     sizes = chained.groupBy("keep_key").agg(F.count(F.lit(1)).alias("group_size"))
     heads = sizes.join(narrow.select(F.col("key").alias("keep_key"), F.col("id").alias("keep_id")), "keep_key")
     grouped = join_groups(chained, staging.write(heads), "keep_key", "group_size")

@@ -7,7 +7,7 @@ import re
 import pytest
 from pyspark.sql import functions as F
 
-from quern.llm import hyperminhash
+from quern.llm import extendible, hyperminhash
 from quern.llm.common import Staging
 from quern.llm.extendible import build_directory, drop_copies, exact_groups
 from quern.llm.hyperminhash import drop_near_copies, near_components
@@ -59,6 +59,28 @@ def test_directory_splits_overfull_buckets(spark):
     assert sum(buckets.values()) == 4300
 
 
+@pytest.mark.parametrize("hash_of", [F.xxhash64, lambda c: F.pmod(F.length(c), F.lit(2))])
+def test_exact_groups_split_and_salted(spark, monkeypatch, hash_of):
+    monkeypatch.setattr(extendible, "SALT_ROWS", 3)
+    rows = [(i, f"text {i % 6}") for i in range(60)] + [(200 + i, "hot") for i in range(90)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    found, _ = exact_groups(docs, hash_of=hash_of, capacity=4)
+    assert {r.key: (r.keep_id, r.group_size, r.kept, r.text_sha256) for r in found.collect()} == brute_exact(rows)
+
+
+def test_rows_are_routed_by_the_directory(spark, monkeypatch):
+    """Without the directory's cells no row finds its bucket, and no copy is found."""
+    docs = spark.createDataFrame([(i, f"text {i % 10}") for i in range(40)], "doc_id long, text string")
+    assert {r.group_size for r in exact_groups(docs)[0].collect()} == {4}
+
+    def emptied(*args, **kwargs):
+        directory, depth = build_directory(*args, **kwargs)
+        return directory.limit(0), depth
+
+    monkeypatch.setattr(extendible, "build_directory", emptied)
+    assert {r.group_size for r in exact_groups(docs)[0].collect()} == {1}
+
+
 def shingles(text):
     words = re.findall(r"[^\x20\x09-\x0D]+", "".join(c.lower() if "A" <= c <= "Z" else c for c in text or ""))
     if len(words) < 4:
