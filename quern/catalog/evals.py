@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from quern.catalog import query, sql, table
-from quern.operators import evals, feedback, filters
+from quern.operators import alignment, evals, feedback, filters
 
 STAMP = "2026-01-01T00:00:00+00:00"
 PLACES = 9
@@ -283,3 +283,48 @@ def context_scores(spark, sf):
 def low_ratings(spark, sf):
     """Valid feedback with a rating below 3, for review."""
     return feedback.low_ratings(feedback_entries(spark, sf))
+
+
+def _lcs(left, right):
+    """CTEs: rows of the alignment table of ``pairs`` (k, a, b), one token of a at a time; a row is kept as a list."""
+    best = "greatest(prev[j + 1], CASE WHEN p.b[j] = p.a[l.i + 1] THEN prev[j] + 1 ELSE 0 END)"
+    cells = f"list_transform(range(1, len(p.b) + 1), lambda j: {best.replace('prev', 'l.r')})"
+    return f"""pairs AS ({left}), l AS (
+      SELECT k, 0 AS i, list_transform(range(0, len(b) + 1), lambda j: 0::BIGINT) AS r FROM pairs
+      UNION ALL
+      SELECT l.k, l.i + 1, [0::BIGINT] || list_transform(range(1, len(p.b) + 1), lambda j: list_max(({cells})[1:j]))
+      FROM l JOIN pairs p ON l.k = p.k WHERE l.i < len(p.a)),
+    {right} AS (SELECT p.k, coalesce(list_last(l.r), 0) AS n FROM pairs p JOIN l ON l.k = p.k AND l.i = len(p.a))"""
+
+
+@query(
+    "rouge_l",
+    f"""WITH RECURSIVE {CASES}, {_lcs("SELECT seq AS k, " + sql.tokens("coalesce(candidate, '')") + " AS a, "
+        + sql.tokens("coalesce(expected, '')") + " AS b FROM cases", "common")}
+    SELECT k AS seq, n AS n_common, round(coalesce(n / nullif(len(a), 0)::DOUBLE, 0.0), {PLACES}) AS precision,
+      round(coalesce(n / nullif(len(b), 0)::DOUBLE, 0.0), {PLACES}) AS recall,
+      round(CASE WHEN n > 0 THEN 2.0 * n / (len(a) + len(b)) ELSE 0.0 END, {PLACES}) AS rouge_l
+    FROM pairs JOIN common USING (k)""",
+)
+def rouge_l(spark, sf):
+    scored = alignment.rouge_l(conversation_cases(spark, sf), "seq", "expected", "candidate")
+    return _rounded(scored, "precision", "recall", "rouge_l")
+
+
+@query(
+    "best_contexts",
+    f"""WITH RECURSIVE {CASES}, t AS (SELECT seq, list_filter(list_transform(
+        regexp_split_to_array(coalesce(candidate, ''), '[.!?\n]+'), lambda s: {sql.tokens('s')}), lambda s: len(s) > 0) AS s,
+        list_transform([prompt, expected, baseline], lambda c: {sql.tokens("coalesce(c, '')")}) AS c FROM cases),
+    parts AS (SELECT seq, i::INTEGER AS sentence, j::INTEGER AS context, s[i + 1] AS a, c[j + 1] AS b
+      FROM t, (SELECT unnest(range(0, 3)) AS j), unnest(range(0, len(s))) AS u(i)),
+    {_lcs("SELECT {'seq': seq, 'sentence': sentence, 'context': context} AS k, a, b FROM parts", "common")}
+    SELECT k.seq AS seq, k.sentence AS sentence, len(any_value(a))::INTEGER AS n_tokens,
+      CASE WHEN max(n) > 0 THEN arg_max(k.context, n * 10 - k.context) END AS context, max(n) AS n_common
+    FROM pairs JOIN common USING (k) GROUP BY 1, 2""",
+)
+def best_contexts(spark, sf):
+    """Prompt, wanted answer and baseline stand for the retrieved contexts."""
+    contexts = F.array("prompt", "expected", "baseline")
+    cases = conversation_cases(spark, sf).withColumn("contexts", contexts)
+    return alignment.best_contexts(cases, "seq", "contexts", "candidate")

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from quern.catalog import query, table
-from quern.operators import agreement, runs
+from quern.operators import agreement, runs, sketches
 from quern.session import scratch_path
 
 PLACES = 9
@@ -61,6 +61,7 @@ def _marks(spark, sf):
     seen = F.col("event_type") != "error"
     return events.select(
         F.floor(F.col("event_id") / 5).alias("item"),
+        (F.col("user_id") % 20).alias("who"),
         F.when(seen, F.col("event_type")).alias("label"),
         F.when(seen, F.col("value")).alias("value"),
     )
@@ -110,3 +111,53 @@ def annotator_alpha_interval(spark, sf):
 
 def _alpha(found):
     return found.withColumns({c: F.round(c, 6) for c in ("observed", "expected", "alpha")})
+
+
+# Every five events are an item, marked by the user of each event.
+@query(
+    "annotator_pair_kappas",
+    f"""WITH m AS (SELECT event_id // 5 AS item, user_id % 20 AS who, max(event_type) AS mark FROM events
+      WHERE event_type <> 'error' AND user_id IS NOT NULL GROUP BY ALL),
+    p AS (SELECT a.who AS first, b.who AS second, a.mark AS x, b.mark AS y
+      FROM m a JOIN m b ON a.item = b.item AND a.who < b.who),
+    s AS (SELECT first, second, count(*) AS items, avg((x = y)::INT) AS agreement FROM p GROUP BY ALL),
+    l AS (SELECT first, second, x AS mark, count(*) AS n FROM p GROUP BY ALL),
+    r AS (SELECT first, second, y AS mark, count(*) AS n FROM p GROUP BY ALL),
+    c AS (SELECT first, second, sum(l.n * r.n) AS chance FROM l JOIN r USING (first, second, mark) GROUP BY ALL)
+    SELECT first, second, items, round(agreement, {PLACES}) AS agreement,
+      round((agreement - coalesce(chance, 0) / (items::DOUBLE * items))
+        / nullif(1 - coalesce(chance, 0) / (items::DOUBLE * items), 0), {PLACES}) AS kappa
+    FROM s LEFT JOIN c USING (first, second)""",
+)
+def annotator_pair_kappas(spark, sf):
+    marks = _marks(spark, sf).select("item", "label", "who")
+    found = agreement.pair_kappas(marks, "item", "who", "label")
+    return found.withColumns({c: F.round(c, PLACES) for c in ("agreement", "kappa")})
+
+
+_QUANTILES = [0.1, 0.5, 0.9, 0.99]
+
+
+@query(
+    "merged_latency_quantiles",
+    " UNION ALL ".join(
+        f"SELECT event_type AS model, {q}::DOUBLE AS quantile, count(value) AS n, true AS within FROM events GROUP BY event_type"
+        for q in _QUANTILES
+    ),
+)
+def merged_latency_quantiles(spark, sf):
+    """Days are batches, kinds of event are models. Each estimate is checked against its exact rank in the table."""
+    events = table(spark, sf, "events").select(F.col("event_type").alias("model"), F.col("value").alias("latency"), "ts")
+    path = scratch_path(spark, "sketches")
+    half = events.agg(F.timestamp_seconds(F.avg(F.unix_timestamp("ts")))).first()[0]
+    first = F.coalesce(F.col("ts") < F.lit(half), F.lit(False))
+    for batch, rows in (("1", events.where(first)), ("2", events.where(~first)), ("2", events.where(~first))):
+        sketches.sketch_batch(rows, path, batch, ["model"], ["latency"])
+    stored = spark.read.schema("model string, latency binary, batch string").parquet(path)
+    found = sketches.merged_quantiles(stored, ["model"], ["latency"], _QUANTILES)
+    # Models times quantiles: a few rows per model, whatever the number of events.
+    ranked = events.join(found.hint("broadcast"), "model").where("latency IS NOT NULL").groupBy("model", "quantile", "n")
+    below, upto = F.avg((F.col("latency") < F.col("estimate")).cast("double")), F.avg((F.col("latency") <= F.col("estimate")).cast("double"))
+    ranks = ranked.agg(below.alias("low"), upto.alias("high"))
+    gap = sketches.RANK_ERROR
+    return ranks.select("model", "quantile", "n", ((F.col("low") - gap <= F.col("quantile")) & (F.col("high") + gap >= F.col("quantile"))).alias("within"))

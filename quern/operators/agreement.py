@@ -1,4 +1,4 @@
-"""Agreement of many annotators: coincidences of values and Krippendorff's alpha."""
+"""Agreement of many annotators: coincidences of values, Krippendorff's alpha, kappa of each pair."""
 
 from __future__ import annotations
 
@@ -74,3 +74,32 @@ def krippendorff_alpha(marks: DataFrame, item: str, value: str, metric: str = "n
     observed, expected = F.try_divide("within", n), F.try_divide(between, n * (n - 1))
     sums = total.select("items", "marks", observed.alias("observed"), expected.alias("expected"))
     return sums.withColumn("alpha", 1 - F.try_divide("observed", "expected"))
+
+
+def pair_kappas(marks: DataFrame, item: str, annotator: str, value: str) -> DataFrame:
+    """(first, second, items, agreement, kappa) for each two annotators with an item in common.
+
+    Null items, annotators and values are missing marks; of an annotator's marks of one item the
+    largest value counts. Kappa is null where chance alone would always agree. An item is one row
+    of its marks, so pairs grow with the square of the annotators of one item, never of all marks.
+    """
+    held = marks.where(F.col(item).isNotNull() & F.col(annotator).isNotNull() & F.col(value).isNotNull())
+    single = held.groupBy(F.col(item).alias("item"), F.col(annotator).alias("who")).agg(F.max(value).alias("mark"))
+    items = single.groupBy("item").agg(F.array_sort(F.collect_list(F.struct("who", "mark"))).alias("v"))
+    one = items.where(F.size("v") > 1).select("v", F.posexplode("v").alias("place", "a"))
+    two = one.select("a", F.explode(F.slice("v", F.col("place") + 2, F.size("v"))).alias("b"))
+    cells = two.groupBy(
+        F.col("a.who").alias("first"), F.col("b.who").alias("second"), F.col("a.mark").alias("x"), F.col("b.mark").alias("y")
+    ).agg(F.count(F.lit(1)).alias("n"))
+    # Marginals from the small table of cells: one row per pair, label and side.
+    side = F.explode(F.array(F.struct(F.col("x").alias("mark"), F.col("n").alias("l"), F.lit(0).cast("long").alias("r")),
+                             F.struct(F.col("y").alias("mark"), F.lit(0).cast("long").alias("l"), F.col("n").alias("r"))))
+    margins = cells.select("first", "second", side.alias("s")).groupBy("first", "second", "s.mark")
+    chance = margins.agg((F.sum("s.l").cast("double") * F.sum("s.r")).alias("both"))
+    chance = chance.groupBy("first", "second").agg(F.sum("both").alias("both"))
+    same = F.sum(F.when(F.col("x") == F.col("y"), F.col("n")).otherwise(0))
+    seen = cells.groupBy("first", "second").agg(F.sum("n").alias("items"), same.alias("same"))
+    share, expected = F.col("same") / F.col("items"), F.col("both") / (F.col("items").cast("double") * F.col("items"))
+    return seen.join(chance, ["first", "second"]).select(
+        "first", "second", "items", share.alias("agreement"), F.try_divide(share - expected, 1 - expected).alias("kappa")
+    )
