@@ -14,6 +14,8 @@ and word beginnings that toxic documents hold far more often than chance allows
 kinds of match are a logistic regression on the same labelled rows. The fit uses at
 most about SAMPLE_ROWS labelled rows, picked by hash, and one of each group of equal texts
 with equal labels; texts that differ in anything are rows of their own.
+The lexicon is a bounded model: the 20 * LEXICON_TERMS candidates that most toxic documents hold
+are weighed, and the LEXICON_TERMS with the highest ratio are kept; scoring reads all texts.
 
 Defined results: null or empty texts get the score of a text without matches; rows
 with a null id are scored but never learned from; without labelled rows of both
