@@ -42,16 +42,24 @@ def strip_text(text: Column) -> Column:
     return F.btrim(text, F.lit(WHITESPACE_CHARS))
 
 
+# Runs that one space has to replace: a space before a printable ASCII character is one already.
+# The range stands first, as one comparison rules out most characters.
+_TO_SQUEEZE = f"(?! [!-~])[[^!-~]&&[{WHITESPACE_CLASS}]]+"
+
+
 def normalize_whitespace(text: Column) -> Column:
     """One space for every run of Unicode whitespace, none at the ends."""
-    return F.btrim(F.regexp_replace(text, f"[{WHITESPACE_CLASS}]+", " "), F.lit(" "))
+    return F.btrim(F.regexp_replace(text, _TO_SQUEEZE, " "), F.lit(" "))
 
 
 def mask_email(text: Column) -> Column:
     """Replace mail addresses; the regex only runs on texts that hold an ``@``."""
-    return F.when(
-        F.contains(text, F.lit("@")), F.regexp_replace(text, EMAIL_PATTERN, EMAIL_PLACEHOLDER)
-    ).otherwise(text)
+    def masked(bound: Column) -> Column:
+        replaced = F.regexp_replace(bound, EMAIL_PATTERN, EMAIL_PLACEHOLDER)
+        return F.when(F.contains(bound, F.lit("@")), replaced).otherwise(bound)
+
+    # Bound as a lambda variable, so that ``text`` is not worked out for each mention.
+    return F.transform(F.array(text), masked)[0]
 
 
 def mask_phone(text: Column) -> Column:

@@ -1,3 +1,8 @@
+import random
+import re
+from collections import Counter
+from hashlib import blake2b, md5
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -111,3 +116,41 @@ def test_duplicate_rows(spark):
     numbers = spark.createDataFrame([(10, 7), (0, 0), (3, 5)], "a long, b long")
     got = numbers.select(quality.duplicate_rows(F.col("a"), F.col("b"))).collect()
     assert [r[0] for r in got] == [3, 0, 0]
+
+
+def _plain_fingerprint(value, digest):
+    words = re.findall(text.TOKEN_PATTERN, value.lower())
+    runs = [" ".join(words[i : i + 5]).encode() for i in range(max(1, len(words) - 4))] if words else []
+    found = [int.from_bytes(digest(run), "big") for run in runs]
+    votes = [sum(1 if h >> bit & 1 else -1 for h in found) for bit in range(64)]
+    fp = sum(1 << bit for bit in range(64) if runs and votes[bit] >= 0)
+    return fp - (1 << 64) if fp >> 63 else fp
+
+
+@pytest.mark.parametrize("family", ["md5", "blake2b"])
+def test_texts_share_a_buffer(monkeypatch, family):
+    """Borders of tokens, blocks and texts; MD5 goes message by message only where a block is too short."""
+    rng = random.Random(5)
+    chars = "aZ_9 \n.,-éİKΣ一丁鿿鿾䶿ꀀ日😀"
+    texts = ["", " . ", "a", "一", "鿿㶿一a一", "x" * 55, "x" * 56, "w" * 300 + " b c d e f", "İ K"]
+    texts += ["".join(rng.choices(chars, k=rng.randint(0, 200))) for _ in range(300)]
+    texts += [" ".join(rng.choices(["word", "ab", "longerwords"], k=2000))]
+    digest = {"md5": lambda b: md5(b).digest()[:8], "blake2b": lambda b: blake2b(b, digest_size=8).digest()}[family]
+    expected = [_plain_fingerprint(t, digest) for t in texts]
+    calls = []
+    monkeypatch.setattr(hashing, "md5", lambda b: calls.append(len(b)) or md5(b))
+    monkeypatch.setattr(hashing, "_VOTE_CHUNK", 512)
+    assert hashing._fingerprints(texts, hashing.FAMILIES[family]).tolist() == expected
+    assert all(size > 55 for size in calls)
+    assert hashing._fingerprints(["", ""], hashing.FAMILIES[family]).tolist() == [0, 0]
+
+
+def test_whitespace_runs_by_brute_force(spark):
+    rng = random.Random(6)
+    values = ["".join(rng.choices(" \t 　\n!~aé\x7f", k=rng.randint(0, 12))) for _ in range(500)]
+    assert column(spark, values, text.normalize_whitespace) == [" ".join(v.split()) for v in values]
+
+
+def test_single_spaces_are_left_alone():
+    """Prose has a space after each word; nothing is replaced there."""
+    assert re.search(text._TO_SQUEEZE.replace("[[^!-~]&&", "[").replace("]]+", "]+"), "one two, three (four)") is None
