@@ -52,6 +52,15 @@ CANDIDATE = "|".join(
     ]
 )
 
+# The same matches in less time: no candidate starts in a run of less than TOKEN_CHARS letters with
+# one of these characters after it, which are in none. Account numbers are tried where they can start.
+_AFTER_WORD = " ,;:!?()\n\r\t"
+SEARCH = (
+    rf"(?![A-Za-z]{{1,{TOKEN_CHARS - 1}}}+[{_AFTER_WORD}])(?:"
+    + CANDIDATE.replace("{1,64}@", "{1,64}+@", 1).replace(_ibans(), f"(?=[A-Z]{{2}}[0-9]{{2}})(?:{_ibans()})", 1)
+    + ")"
+)
+
 
 def luhn(digits: Column) -> Column:
     """The checksum of card numbers holds; ``digits`` holds digits only."""
@@ -122,7 +131,7 @@ def findings(text: Column) -> Column:
 
     A text without a digit and an ``@`` holds none; a null text gives an empty array.
     """
-    matches = F.regexp_extract_all(text, F.lit(CANDIDATE), F.lit(0))
+    matches = F.regexp_extract_all(text, F.lit(SEARCH), F.lit(0))
     # Bound as a lambda variable, so that the search runs once.
     kinds = F.transform(matches, lambda m: F.struct(m.alias("found"), kind_of(m).alias("kind")))
     none = F.array().cast("array<struct<found:string,kind:string>>")
@@ -137,6 +146,6 @@ def mask_findings(text: Column, found: Column) -> Column:
             F.concat(F.lit("<"), F.upper(f["kind"]), F.lit(">"))
         ),
     )
-    pieces = F.split(text, CANDIDATE, -1)
+    pieces = F.split(text, SEARCH, -1)
     joined = F.zip_with(pieces, marks, lambda piece, mark: F.concat(piece, F.coalesce(mark, F.lit(""))))
     return F.when(F.exists(found, lambda f: f["kind"].isNotNull()), F.array_join(joined, "")).otherwise(text)

@@ -135,3 +135,18 @@ def test_strip_common_lines(spark, monkeypatch, hot_rows):
     counted = {(r.docs, r.rows) for r in repetition.common_units(docs, 20).collect()}
     assert counted == {(held[x], rows[x]) for x in common}
     assert repetition.strip_common_lines(docs.limit(0)).count() == 0
+
+
+def test_search_finds_what_the_candidate_pattern_finds(spark):
+    rng = random.Random(8)
+    parts = [
+        "a", "word", "x" * 19, "y" * 20, "z" * 70, "DE", "DE89", "GB82 WEST 1234 5698 7654 32", ACCOUNT, CARD, SECRET, "@", "@b.de",
+        "mail.example.com", ".", "%", "+", "-", "/", "=", "_", " ", " ", ",", ";", "\n", "(", ")", "1", "12", "2024", "10.0.0.1", "+49 30 1234567", "é",
+    ]
+    texts = ["".join(rng.choices(parts, k=rng.randint(1, 14))) for _ in range(3000)]
+    rows = spark.createDataFrame([(t,) for t in texts], "t string").repartition(8)
+    both = [F.regexp_extract_all("t", F.lit(p), F.lit(0)).alias(n) for p, n in ((rules.CANDIDATE, "a"), (rules.SEARCH, "b"))]
+    parted = [F.split("t", p, -1).alias(n) for p, n in ((rules.CANDIDATE, "c"), (rules.SEARCH, "d"))]
+    found = rows.select("t", *both, *parted)
+    assert found.where("size(a) > 0").count() > 1000
+    assert found.where("a <> b OR c <> d").collect() == []
