@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from quern.functions.hashing import content_hash, sha256_hash
 from quern.functions.text import char_count, strip_text, tokenize
+from quern.session import stage_counted
 
 
 def add_features(docs: DataFrame, text: str = "text") -> DataFrame:
@@ -91,7 +92,42 @@ def token_total(docs: DataFrame, text: str = "text") -> DataFrame:
     )
 
 
+def _bag(tokens: Column) -> Column:
+    """Array of (token, n) of an array of tokens: runs of equal ones after sorting."""
+
+    def runs(ordered: Column) -> Column:
+        changes = lambda i: (i == 1) | (F.get(ordered, i - 1) != F.get(ordered, i - 2))
+        first = F.filter(F.sequence(F.lit(1), F.size(ordered)), changes)
+        return F.transform(F.array(first), lambda starts: sized(ordered, starts))[0]
+
+    def sized(ordered: Column, starts: Column) -> Column:
+        def run(start: Column, i: Column) -> Column:
+            stop = F.coalesce(F.get(starts, i + 1), F.size(ordered) + 1)
+            return F.struct(F.get(ordered, start - 1).alias("token"), (stop - start).cast("long").alias("n"))
+
+        return F.transform(starts, run)
+
+    # Bound as lambda variables, so that tokens are found, sorted and cut up once.
+    counted = F.transform(F.array(F.sort_array(tokens)), runs)[0]
+    return F.when(F.size(tokens) > 0, counted)
+
+
 def token_counts(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
-    """(key, token, n): each text as a bag of tokens."""
-    words = docs.select(key, F.explode(tokenize(F.col(text))).alias("token"))
-    return words.groupBy(key, "token").agg(F.count(F.lit(1)).alias("n"))
+    """(key, token, n): each text as a bag of tokens; texts of the same key are one bag.
+
+    A text is counted in its row. Only the counts of keys that stand in several rows are
+    shuffled, and the keys alone to find these.
+    """
+    sizes = docs.groupBy(F.col(key).alias("_key")).agg(F.count(F.lit(1)).alias("_rows"))
+    repeated, n_repeated = stage_counted(sizes.where("_rows > 1").select("_key"), "repeated")
+
+    def counted(rows: DataFrame) -> DataFrame:
+        bags = rows.select(key, tokenize(F.col(text)).alias("_tokens")).select(key, _bag(F.col("_tokens")).alias("_bag"))
+        # The outer form: for the inner one the planner would work out the bags a second time, in a filter.
+        return bags.select(key, F.inline_outer("_bag")).where(F.col("token").isNotNull())
+
+    if not n_repeated:
+        return counted(docs)
+    same = F.col(key).eqNullSafe(F.col("_key"))
+    merged = counted(docs.join(repeated, same, "left_semi")).groupBy(key, "token").agg(F.sum("n").alias("n"))
+    return counted(docs.join(repeated, same, "left_anti")).unionByName(merged)

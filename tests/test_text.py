@@ -154,3 +154,24 @@ def test_whitespace_runs_by_brute_force(spark):
 def test_single_spaces_are_left_alone():
     """Prose has a space after each word; nothing is replaced there."""
     assert re.search(text._TO_SQUEEZE.replace("[[^!-~]&&", "[").replace("]]+", "]+"), "one two, three (four)") is None
+
+
+def test_token_counts_by_key(spark):
+    rng = random.Random(7)
+    rows = [(i, " ".join(rng.choices(["a", "B", "b", "一", "c_1", "."], k=rng.randint(0, 9)))) for i in range(40)]
+    rows += [(3, "a a"), (3, "x"), (5, None), (None, "a b"), (None, "b"), (99, None), (98, "")]
+
+    def expected(given):
+        bags = {}
+        for key, value in given:
+            bags.setdefault(key, Counter()).update(re.findall(text.TOKEN_PATTERN, (value or "").lower()))
+        return sorted(((k, t, n) for k, bag in bags.items() for t, n in bag.items()), key=str)
+
+    for given in (rows, rows[:40], rows[-2:]):
+        docs = spark.createDataFrame(given, "doc_id long, text string")
+        counted = quality.token_counts(docs)
+        assert sorted(map(tuple, counted.collect()), key=str) == expected(given)
+    assert counted.columns == ["doc_id", "token", "n"]
+    # Where a key is in one row only, nothing is shuffled.
+    plan = quality.token_counts(spark.createDataFrame(rows[:40], "doc_id long, text string"))
+    assert "Exchange" not in plan._jdf.queryExecution().executedPlan().toString()
