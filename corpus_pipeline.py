@@ -13,13 +13,10 @@ from pyspark.sql import functions as F
 from quern.llm.extendible import drop_copies
 from quern.llm.hyperminhash import drop_near_copies
 from quern.llm.packing import pack_documents
-from quern.llm.repeats import remove_repeats
+from quern.llm.repeats import PASSAGE_BYTES, PASSAGE_WORDS, remove_repeats
 from quern.llm.toxicity import drop_toxic
 from quern.session import stage
 
-# Repeated passages of more than PASSAGE_WORDS words are removed. 51 words are at least
-# PASSAGE_BYTES bytes long in 99.5 per cent of the places of the documents at sf0.1.
-PASSAGE_WORDS, PASSAGE_BYTES = 50, 200
 # Words in a shingle of the near_dedup stage.
 SHINGLE = 5
 

@@ -7,6 +7,7 @@ from collections import Counter
 import numpy as np
 import pytest
 
+from quern.llm import queries
 from quern.llm.bwt import repeated_starts
 from quern.llm.repeats import remove_repeats
 
@@ -76,3 +77,31 @@ def test_transform_against_counts():
         strings = [tuple(symbols[i : i + size]) for i in range(len(symbols))]
         counts = Counter(s for s in strings if len(s) == size)
         assert repeated_starts(symbols, size).tolist() == [counts[s] > 1 for s in strings]
+
+
+def test_passages_of_over_50_words_beside_the_strings(spark, tmp_path):
+    """A shared passage of 51 words under 400 bytes: no string of 400 bytes, but a passage."""
+    rng = random.Random(3)
+    word = lambda: "".join(rng.choice("abcdefgh") for _ in range(rng.randint(4, 6)))
+    prose = lambda n: " ".join(word() for _ in range(n))
+    # Neighbours of the passages differ in their first letter, so that the ranges are theirs alone.
+    passage, short, long = "(" + prose(51) + ")", "(" + prose(45) + ")", "(" + prose(120) + ")"
+    assert 200 <= len(passage) < 400 and 200 <= len(short) and len(long) > 400
+    heads, tails = [prose(30) + x for x in "ABCDEFG"], [x + prose(30) for x in "HIJKLMN"]
+    put = lambda i, p: heads[i] + p + tails[i]
+    texts = [put(0, passage), put(1, passage), put(2, short), put(3, short), put(4, long), put(5, long), put(6, ""), None]
+    rows = [(None if i == 1 else i, t, "en", "s", len(t or "")) for i, t in enumerate(texts)]
+    spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long").write.parquet(
+        f"{tmp_path}/documents.parquet"
+    )
+    found = queries.QUERIES["op6_repeat_removal"](spark, str(tmp_path)).collect()
+    got = {1 if r.doc_id is None else r.doc_id: r for r in found}
+    assert len(found) == len(texts)
+    # The contract's columns keep to strings of 400 bytes.
+    assert {i: tuple(r[1:5]) for i, r in got.items()} == dict(enumerate(brute(texts, 400)))
+    gone = {0: passage, 1: passage, 4: long, 5: long}
+    for i, text in enumerate(texts):
+        assert got[i].passage_text == (text or "").replace(gone.get(i, "\n"), "")
+        assert got[i].n_passage_removed == len(gone.get(i, ""))
+        assert got[i].n_passages == int(i in gone)
+    assert {i for i, r in got.items() if r.n_removed} == {4, 5}
