@@ -82,17 +82,15 @@ def gram_hashes(data: np.ndarray, width: int) -> np.ndarray:
 
 
 def sliding_minimum(values: np.ndarray, width: int) -> np.ndarray:
-    """Minimum of every run of ``width`` values, by start (two block-wise scans)."""
-    n = len(values) - width + 1
-    if n <= 0:
+    """Minimum of every run of ``width`` values, by start (runs of doubled width)."""
+    if len(values) < width:
         return values[:0]
-    blocks = -(-len(values) // width)
-    padded = np.full(blocks * width, np.iinfo(values.dtype).max, dtype=values.dtype)
-    padded[: len(values)] = values
-    grid = padded.reshape(blocks, width)
-    ahead = np.minimum.accumulate(grid, axis=1).ravel()
-    behind = np.minimum.accumulate(grid[:, ::-1], axis=1)[:, ::-1].ravel()
-    return np.minimum(behind[:n], ahead[width - 1 : width - 1 + n])
+    known = 1
+    while 2 * known <= width:
+        values = np.minimum(values[:-known], values[known:])
+        known *= 2
+    rest = width - known
+    return np.minimum(values[:-rest], values[rest:]) if rest else values
 
 
 def signed(values: np.ndarray) -> np.ndarray:

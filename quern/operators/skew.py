@@ -18,13 +18,13 @@ MAX_BROADCAST_BYTES = 64 << 20
 def join_groups(
     rows: DataFrame,
     groups: DataFrame,
-    key: str,
+    key: str | list[str],
     size: str,
     hot_rows: int = HOT_ROWS,
     max_keys: int = MAX_BROADCAST_KEYS,
     weight: Column | None = None,
 ) -> DataFrame:
-    """Inner-join ``rows`` to ``groups`` (one row per ``key``, ``size`` = its row count).
+    """Inner-join ``rows`` to ``groups`` (one row per ``key``, one column or several; ``size`` = its row count).
 
     Keys with ``hot_rows`` rows or more are broadcast, so their rows never meet
     in one task. The threshold rises with the data so that no more than
@@ -54,11 +54,12 @@ def join_groups(
     return spread.unionByName(rest)
 
 
-def _salted(rows: DataFrame, groups: DataFrame, key: str, size: str, limit: int) -> DataFrame:
+def _salted(rows: DataFrame, groups: DataFrame, key: str | list[str], size: str, limit: int) -> DataFrame:
     """The same join with only keys broadcast. A hot key's rows are dealt by a hash of the whole row."""
+    keys = [key] if isinstance(key, str) else key
     shares = F.ceil(F.col(size) / limit).cast("int")
-    hot = groups.where(shares > 1).select(key, shares.alias("_shares"))
+    hot = groups.where(shares > 1).select(*keys, shares.alias("_shares"))
     salt = F.pmod(F.xxhash64(*[F.col(f"`{c}`") for c in rows.columns]), F.coalesce("_shares", F.lit(1)))
     placed = rows.join(F.broadcast(hot), key, "left").withColumn("_salt", salt).drop("_shares")
     every = F.sequence(F.lit(0).cast("long"), F.greatest(shares, F.lit(1)).cast("long") - 1)
-    return placed.join(groups.withColumn("_salt", F.explode(every)), [key, "_salt"]).drop("_salt")
+    return placed.join(groups.withColumn("_salt", F.explode(every)), [*keys, "_salt"]).drop("_salt")

@@ -7,8 +7,11 @@ from collections import Counter
 import numpy as np
 import pytest
 
-from quern.llm import queries
+from pyspark.sql import functions as F
+
+from quern.llm import queries, repeats
 from quern.llm.bwt import repeated_starts
+from quern.llm.kernels import sliding_minimum
 from quern.llm.repeats import remove_repeats
 
 
@@ -105,3 +108,75 @@ def test_passages_of_over_50_words_beside_the_strings(spark, tmp_path):
         assert got[i].n_passage_removed == len(gone.get(i, ""))
         assert got[i].n_passages == int(i in gone)
     assert {i for i, r in got.items() if r.n_removed} == {4, 5}
+
+
+def brute_passages(texts):
+    """Texts without the ranges of repeated 200-byte strings that hold over 50 words or 400 bytes."""
+    raws = [(t or "").encode() for t in texts]
+    seen = Counter(r[i : i + 200] for r in raws for i in range(len(r) - 199))
+    out = []
+    for r in raws:
+        gone = np.zeros(len(r) + 2, dtype=np.int8)
+        for i in range(len(r) - 199):
+            if seen[r[i : i + 200]] > 1:
+                gone[1 + i : 201 + i] = 1
+        edges = np.diff(gone)
+        runs = [
+            (a, b)
+            for a, b in zip(np.flatnonzero(edges == 1).tolist(), np.flatnonzero(edges == -1).tolist())
+            if b - a >= 400 or len(r[a:b].split()) > 50
+        ]
+        borders = [0, *(x for run in runs for x in run), len(r)]
+        rest = b"".join(r[a:b] for a, b in zip(borders[::2], borders[1::2]))
+        out.append((rest.decode("utf-8", "ignore"), sum(b - a for a, b in runs), len(runs)))
+    return out
+
+
+@pytest.mark.parametrize("length,crowd", [(400, 16384), (300, 2), (150, 16384)])
+def test_both_searches_against_all_windows(spark, length, crowd):
+    """The longer strings are looked for in the ranges of the shorter ones only, and none is lost."""
+    texts = corpus(7 * length + crowd, 400)
+    rng = random.Random(length)
+    letters = lambda n: "".join(rng.choice("abcdefé ") for _ in range(n))
+    shared, other = letters(700), letters(450)
+    # The same range twice, the same bytes in a longer range, a range beside others in one long text.
+    texts += ["#" + shared + "#", "+" + shared + "+", letters(90) + shared + other + letters(90)]
+    texts += [letters(70_000) + shared[100:] + letters(50) + other + "!", other[30:], shared[:250] + letters(300) + shared[300:]]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    found = remove_repeats(docs, length=length, crowd=crowd, passages=True).collect()
+    got = {r.row.doc_id: r for r in found}
+    assert len(found) == len(texts)
+    columns = ("n_bytes", "n_removed", "n_spans", "kept_sha256")
+    assert {i: tuple(r[c] for c in columns) for i, r in got.items()} == dict(enumerate(brute(texts, length)))
+    columns = ("passage_text", "n_passage_removed", "n_passages")
+    assert {i: tuple(r[c] for c in columns) for i, r in got.items()} == dict(enumerate(brute_passages(texts)))
+
+
+def test_second_search_reads_only_repeated_ranges(spark, monkeypatch):
+    """Strings of 400 bytes are looked for in what repeats by 200 bytes, not in all texts again."""
+    rng = random.Random(11)
+    letters = lambda n: "".join(rng.choice("abcdefgh ") for _ in range(n))
+    shared = letters(600)
+    texts = [letters(3000) for _ in range(20)] + ["#" + shared + letters(500), "+" + shared + letters(500), letters(500) + shared]
+    searched = []
+    search = repeats.repeat_spans
+
+    def seen(rows, length, *more):
+        searched.append((length, rows.agg(F.sum(F.octet_length("text"))).first()[0]))
+        return search(rows, length, *more)
+
+    monkeypatch.setattr(repeats, "repeat_spans", seen)
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    found = {r.row.doc_id: r.n_removed for r in remove_repeats(docs, passages=True).collect()}
+    sizes = dict(searched)
+    assert sizes[200] == sum(len(t) for t in texts)
+    # Equal ranges are searched once.
+    assert 600 <= sizes[400] < 2 * 600
+    assert {i: n for i, n in found.items() if n} == {i: brute(texts, 400)[i][1] for i in (20, 21, 22)}
+
+
+def test_minimum_of_runs():
+    values = np.random.default_rng(2).integers(0, 1 << 40, 300).astype(np.uint64)
+    for width in (1, 2, 3, 64, 137, 300, 301):
+        expected = [int(values[i : i + width].min()) for i in range(len(values) - width + 1)]
+        assert sliding_minimum(values, width).tolist() == expected
