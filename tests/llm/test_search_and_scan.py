@@ -154,3 +154,28 @@ def test_given_documents_against_sql(spark):
     assert not [r for r in got if "mit-notice" in r[6] and "mit" not in r[5].split(",")]
     reserved = db.execute("SELECT count(*) FROM documents WHERE text LIKE '%All rights reserved.%'").fetchall()[0][0]
     assert sum("proprietary" in r[6] for r in got) >= reserved > 0
+
+
+OTHERS = [
+    ("fr", "Tous droits réservés À LA société Éditions", "", ""),
+    ("de", "Alle Rechte VORBEHALTEN gemäß ÜBEREINKUNFT", "rechte vorbehalten", ""),
+    ("reserved", "All rights reserved.", "rights reserved copyright", ""),
+]
+NOTICES = [
+    ("TOUS droits réservés À la société Éditions", "fr", 1.0),
+    ("tous droits réservés à la société éditions", "", 0.0),
+    ("alle rechte vorbehalten gemäß ÜBEREINKUNFT", "de", 1.0),
+    ("alle rechte vorbehalten gemäß übereinkunft", "de", 0.8),
+    ("All rights reserved. Copyright", "reserved", 1.0),
+    ("All rights reserved.", "", 0.0),
+]
+
+
+def test_templates_with_other_capitals_or_telling_words_beyond_their_text(spark):
+    rows = [(i, t) for i, (t, _, _) in enumerate(NOTICES)]
+    got = sorted(tuple(r) for r in scan_licenses(spark.createDataFrame(rows, "doc_id long, text string"), templates=OTHERS).collect())
+    assert [(r[6], r[7]) for r in got] == [(label, score) for _, label, score in NOTICES]
+    db = duckdb.connect()
+    db.execute("CREATE TABLE documents (doc_id BIGINT, text VARCHAR)")
+    db.executemany("INSERT INTO documents VALUES (?, ?)", rows)
+    assert got == sorted(db.execute(licenses_sql(OTHERS)).fetchall())
